@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .chat import OP7_SQL, op7_format_chats
+from .language import op4_language_id
 from .mixing import OP6_SQL, op6_mix_sources
 from .quality import op10_quality_rules
 from .secrets import OP1_SQL, op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_language_id": op4_language_id,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
     "op10_quality_rules": op10_quality_rules,
