@@ -1,0 +1,284 @@
+"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
+
+Texts are words (A-Z lower-cased, ASCII punctuation read as blanks). An item of n words
+leaks into a document if some run of the document's words is within k word edits of it,
+k = n // 5 (at most n // 3 - 1). The search:
+
+1. Windows: within k edits one of k + 1 segments of the item stands unchanged in the
+   document, so a window of the item's size is laid at every place where the rarest three words of
+   one segment match. No leak is lost by this.
+2. Candidates: each window and item is embedded by CGK random walks (which step on at
+   every symbol by a shared random bit), which turns edit distance into Hamming
+   distance; a window is a candidate if a bit sample of the two embeddings
+   agrees in one of the repetitions.
+3. Verification: the exact edit distance between the item and the best run of words
+   around each candidate.
+
+Items are broadcast in blocks of bounded size, and documents are read in place: nothing
+is shuffled, so no passage, however common, makes a hot key.
+
+Defined results:
+- null and empty texts hold no leak; items of fewer than LEAST_WORDS words are too short to
+  tell a leak and match nothing; repeated rows get repeated results; null doc_id keeps its rows;
+- an item that occurs several times in a document is reported once, at its nearest copy;
+- an empty table of documents or items gives no leak; further columns are kept by
+  ``drop_leaks`` and ignored by ``find_leaks``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import table
+from .tokens import U64, Texts, Words, finalize, groups, shingles_of, words_of
+
+LEAST_WORDS = 8
+ANCHOR = 3
+#: Recall of pairs within k edits, by these repetitions and sample sizes, is tested.
+REPETITIONS = 40
+SAMPLED = 3
+#: Items go to the executors in blocks of about so many bytes of text.
+BLOCK_BYTES = 4_000_000
+
+PLAIN = np.arange(256, dtype=np.uint8)
+PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
+
+
+def plain_words(texts: Texts) -> Words:
+    return words_of(Texts(PLAIN[texts.data], texts.offsets))
+
+
+def allowed_edits(n: np.ndarray) -> np.ndarray:
+    return np.minimum(n // 5, n // 3 - 1)
+
+
+@dataclass
+class Index:
+    """A block of items: symbols padded to one width, anchors, embeddings' samples."""
+
+    ids: np.ndarray
+    size: np.ndarray
+    edits: np.ndarray
+    symbols: np.ndarray
+    anchor_hash: np.ndarray
+    anchor_item: np.ndarray
+    anchor_place: np.ndarray
+    taken: np.ndarray
+    keys: np.ndarray
+
+
+def padded(flat: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
+    """Rows flat[start:start + width]; places outside low..high hold 0."""
+    place = start[:, None] + np.arange(width)[None, :]
+    inside = (place >= low[:, None]) & (place < high[:, None])
+    if not len(flat):
+        return np.zeros(place.shape, U64)
+    return np.where(inside, flat[np.clip(place, 0, len(flat) - 1)], U64(0))
+
+
+def embed(symbols: np.ndarray, size: np.ndarray, taken: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Per row and repetition one hash of the sampled positions of its CGK embedding.
+
+    taken[item, repetition, step] tells the sampled steps; of[row] is the row's item.
+    """
+    rows, width = symbols.shape
+    reps = taken.shape[1]
+    at = np.zeros((rows, reps), np.int64)
+    keys = np.zeros((rows, reps), U64)
+    line = np.arange(rows)[:, None]
+    salts = finalize(np.arange(1, reps + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))[None, :]
+    steps = np.arange(3 * int(size.max(initial=0)), dtype=U64) * U64(0xA24BAED4963EE407)
+    for step in range(len(steps)):
+        over = at >= size[:, None]
+        symbol = np.where(over, U64(1), symbols[line, np.minimum(at, width - 1)])
+        keys = np.where(taken[of, :, step], (keys ^ symbol) * U64(0xD6E8FEB86659FD93) + U64(step), keys)
+        coin = ((symbol ^ (salts + steps[step])) * U64(0xBF58476D1CE4E5B9)) >> U64(63)
+        at += coin.astype(np.int64)
+    return keys
+
+
+def build_index(items: list[tuple[int, str | None]], seed: int = 3) -> Index | None:
+    """The index of the items that have LEAST_WORDS words or more, or None without any."""
+    order = sorted((i, t) for i, t in items if i is not None and t)
+    if not order:
+        return None
+    hashes = []
+    for _, _, texts in groups(pa.array([t for _, t in order], pa.string())):
+        words = plain_words(texts)
+        hashes += [words.hash[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
+    good = [k for k, h in enumerate(hashes) if len(h) >= LEAST_WORDS]
+    if not good:
+        return None
+    hashes = [hashes[k] for k in good]
+    size = np.array([len(h) for h in hashes])
+    edits = allowed_edits(size)
+    flat = np.concatenate(hashes)
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    anchors, first = shingles_of(Words(bounds, bounds, flat, bounds), ANCHOR)
+    _, back, count = np.unique(anchors, return_inverse=True, return_counts=True)
+    rank = np.full(len(flat), len(flat) + 1)
+    rank[first] = count[back]
+    value = np.zeros(len(flat), U64)
+    value[first] = anchors
+    chosen, item, place = [], [], []
+    for k, n in enumerate(size):
+        cuts = np.linspace(0, n, edits[k] + 2).astype(int)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            at = bounds[k] + a + int(np.argmin(rank[bounds[k] + a : bounds[k] + b - ANCHOR + 1]))
+            chosen.append(value[at])
+            item.append(k)
+            place.append(at - bounds[k])
+    by = np.argsort(np.array(chosen, U64), kind="stable")
+    width = int(size.max())
+    rng = np.random.default_rng(seed)
+    taken = np.zeros((len(size), REPETITIONS, 3 * width), bool)
+    for k, n in enumerate(size):  # steps beyond the walk's usual end tell nothing: sample the first 2n
+        steps = rng.integers(0, 2 * n, (REPETITIONS, SAMPLED))
+        taken[k, np.arange(REPETITIONS)[:, None], steps] = True
+    symbols = padded(flat, bounds[:-1], bounds[:-1], bounds[1:], width)
+    return Index(
+        np.array([order[k][0] for k in good], np.int64),
+        size,
+        edits,
+        symbols,
+        np.array(chosen, U64)[by],
+        np.array(item)[by],
+        np.array(place)[by],
+        taken,
+        embed(symbols, size, taken, np.arange(len(size))),
+    )
+
+
+def windows_of(words: Words, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, first word) of the windows that an anchor lays, each once."""
+    hashes, first = shingles_of(words, ANCHOR)
+    low = np.searchsorted(index.anchor_hash, hashes, "left")
+    hit = np.flatnonzero(index.anchor_hash[np.minimum(low, len(index.anchor_hash) - 1)] == hashes)
+    low, first, hashes = low[hit], first[hit], hashes[hit]
+    many = np.searchsorted(index.anchor_hash, hashes, "right") - low
+    total = int(many.sum())
+    which = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(total)
+    place = np.repeat(first, many)
+    text = words.text_of()[place]
+    laid = np.stack((text, index.anchor_item[which], place - index.anchor_place[which]), 1)
+    laid = np.unique(laid, axis=0) if total else laid.astype(np.int64)
+    return laid[:, 0], laid[:, 1], laid[:, 2]
+
+
+def candidates_of(
+    words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
+) -> np.ndarray:
+    """Mask of the windows of which a sample agrees with the item's in some repetition."""
+    width = index.symbols.shape[1]
+    symbols = padded(words.hash, start, words.bounds[text], words.bounds[text + 1], width)
+    keys = embed(symbols, index.size[item], index.taken, item)
+    return (keys == index.keys[item]).any(axis=1)
+
+
+def edit_distances(
+    words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(least edits, word after the run) between each item and any run of words around its window."""
+    slack = index.edits[item]
+    begin = np.maximum(start - slack, words.bounds[text])
+    end = np.minimum(start + index.size[item] + slack, words.bounds[text + 1])
+    width = int((end - begin).max())
+    run = padded(words.hash, begin, begin, end, width)
+    steps = np.arange(width + 1)
+    row = np.zeros((len(item), width + 1), np.int64)  # a run may begin anywhere
+    for i in range(int(index.size[item].max())):
+        symbol = index.symbols[item, i][:, None]
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        new[:, 1:] = np.minimum(row[:, :-1] + (run != symbol), row[:, 1:] + 1)
+        new = np.minimum.accumulate(new - steps, axis=1) + steps
+        row = np.where((i < index.size[item])[:, None], new, row)
+    best = row.argmin(axis=1)
+    return row[np.arange(len(item)), best], begin + best
+
+
+def leaks_in(texts: Texts, index: Index) -> np.ndarray:
+    """Rows (text, item, edits, first word, word after the last), one per text and item."""
+    words = plain_words(texts)
+    text, item, start = windows_of(words, index)
+    found = []
+    for a in range(0, len(text), 512):
+        t, k, s = text[a : a + 512], item[a : a + 512], start[a : a + 512]
+        mask = candidates_of(words, index, t, k, s)
+        t, k, s = t[mask], k[mask], s[mask]
+        if len(t):
+            edits, end = edit_distances(words, index, t, k, s)
+            good = edits <= index.edits[k]
+            base = words.bounds[t]
+            begin = np.maximum(s, base) - base
+            found.append(np.stack((t, k, edits, begin, end - base), 1)[good])
+    rows = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    return rows[fresh]
+
+
+def item_blocks(items: DataFrame) -> list[list[tuple[int, str | None]]]:
+    """The items in blocks of about BLOCK_BYTES, one at a time on the driver."""
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // BLOCK_BYTES)
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
+    rows = items.where(F.col("text").isNotNull()).select("item_id", "text")
+    return ([tuple(r) for r in rows.where(part == k).collect()] for k in range(n))
+
+
+SCHEMA = "doc_id bigint, item_id bigint, item_words bigint, edits bigint, first_word bigint, end_word bigint"
+
+
+def finder(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = build_index(items)
+        names = [f.split()[0] for f in SCHEMA.split(", ")]
+        for batch in batches if index else ():
+            ids = batch.column("doc_id").cast(pa.int64())
+            for at, _, texts in groups(batch.column("text")):
+                rows = leaks_in(texts, index)
+                if len(rows):
+                    columns = [ids.take(pa.array(rows[:, 0] + at)), pa.array(index.ids[rows[:, 1]])]
+                    columns += [pa.array(index.size[rows[:, 1]])] + [pa.array(rows[:, j]) for j in (2, 3, 4)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per document row and item that leaks into it."""
+    found = [
+        docs.select("doc_id", "text").mapInArrow(finder(block), SCHEMA) for block in item_blocks(items)
+    ]
+    empty = docs.sparkSession.createDataFrame([], SCHEMA)
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def dropper(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = build_index(items)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for at, _, texts in groups(batch.column("text")) if index else ():
+                keep[at + leaks_in(texts, index)[:, 0]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, into which no item leaks."""
+    return reduce(lambda left, block: left.mapInArrow(dropper(block), left.schema), item_blocks(items), docs)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

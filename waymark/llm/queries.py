@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP7_SQL, op7_format_chats
+from .decontaminate import op2_decontaminate
 from .language import op4_language_id
 from .mixing import OP6_SQL, op6_mix_sources
 from .quality import op10_quality_rules
@@ -10,6 +11,7 @@ from .secrets import OP1_SQL, op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_decontaminate": op2_decontaminate,
     "op4_language_id": op4_language_id,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
