@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import OP7_SQL, op7_format_chats
 from .decontaminate import op2_decontaminate
 from .language import op4_language_id
+from .lattice import op8_lm_score
 from .mixing import OP6_SQL, op6_mix_sources
 from .quality import op10_quality_rules
 from .secrets import OP1_SQL, op1_secret_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
+    "op8_lm_score": op8_lm_score,
     "op10_quality_rules": op10_quality_rules,
 }
 
