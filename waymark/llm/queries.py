@@ -6,6 +6,7 @@ from .chat import OP7_SQL, op7_format_chats
 from .decontaminate import op2_decontaminate
 from .language import op4_language_id
 from .lattice import op8_lm_score
+from .minmax import op3_minhash_dedup
 from .mixing import OP6_SQL, op6_mix_sources
 from .quality import op10_quality_rules
 from .secrets import OP1_SQL, op1_secret_scan
@@ -13,6 +14,7 @@ from .secrets import OP1_SQL, op1_secret_scan
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_language_id": op4_language_id,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
