@@ -8,6 +8,7 @@ from .language import op4_language_id
 from .lattice import op8_lm_score
 from .minmax import op3_minhash_dedup
 from .mixing import OP6_SQL, op6_mix_sources
+from .pii import op9_pii
 from .quality import op10_quality_rules
 from .secrets import OP1_SQL, op1_secret_scan
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
     "op8_lm_score": op8_lm_score,
+    "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
 }
 
