@@ -7,6 +7,7 @@ from .decontaminate import op2_decontaminate
 from .language import op4_language_id
 from .lattice import op8_lm_score
 from .minmax import op3_minhash_dedup
+from .licences import op5_licence_scan
 from .mixing import OP6_SQL, op6_mix_sources
 from .pii import op9_pii
 from .quality import op10_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_language_id": op4_language_id,
+    "op5_licence_scan": op5_licence_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_format_chats": op7_format_chats,
     "op8_lm_score": op8_lm_score,
