@@ -23,7 +23,8 @@ def all_cuts(pieces, logp, word):
     """Sum over every way to cut the word, by enumeration."""
     ids = {}
     for key, i in zip(pieces.keys.tolist(), pieces.ids.tolist()):
-        ids[key] = i
+        if i >= 0:
+            ids[key] = i
     data = b" " + word
 
     def rest(at):
