@@ -8,8 +8,8 @@ over that order is the prior, and expectation-maximisation over the training wor
 counts, on the executors, turns it into piece probabilities. The pieces themselves are
 never trained.
 
-Beside it stands the base score, add-one unigrams of the training tokens. Counts of words
-move by 64-bit word hashes. Words that hold at least a FREQUENT share of all tokens (at
+Beside it stands the base score, add-one unigrams of the training tokens. Each distinct word is scored
+once, and counts and scores move by 64-bit word hashes. Words that hold at least a FREQUENT share of all tokens (at
 most 1 / FREQUENT words) go to every task; the others are joined by hash.
 
 Defined results:
@@ -23,6 +23,7 @@ Defined results:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ PRIOR = 10_000.0
 FREQUENT = 1e-6
 #: Words longer than that stay out of the broadcast table, to bound its bytes while it is made.
 FREQUENT_CHARS = 64
-BLANK = 32
 LONG = 64
+MASK = (1 << 64) - 1
 BLOCK_BYTES = 400_000
 
 
@@ -71,9 +72,18 @@ class Pieces:
         self.prior = np.where(usable, 1.0 / (rank + 10.0), 0.0)
         self.prior /= self.prior.sum()
         self.longest = max(map(len, texts.values()))
-        keys = np.array([self.key(t) for t in texts.values()], U64)
+        piece_of: dict[tuple[int, int], int] = {}
+        for i, text in texts.items():
+            h = 0
+            for size, b in enumerate(text, 1):
+                h = (h * BASE + b + 1) & MASK
+                piece_of.setdefault((h, size), -1)
+            piece_of[h, len(text)] = i
+        raw = np.array([h for h, _ in piece_of], U64) + np.array([size for _, size in piece_of], U64)
+        keys = finalize(raw)
         by = np.argsort(keys)
-        self.keys, self.ids = keys[by], np.array(list(texts))[by]
+        #: Hashes of all pieces and of their openings, which have id -1.
+        self.keys, self.ids = keys[by], np.array(list(piece_of.values()))[by]
         self.present = np.zeros(1 << 20, bool)
         self.present[(self.keys >> U64(44)).astype(np.int64)] = True
 
@@ -81,7 +91,7 @@ class Pieces:
     def key(text: bytes) -> int:
         h = 0
         for b in text:
-            h = (h * BASE + b + 1) & 0xFFFFFFFFFFFFFFFF
+            h = (h * BASE + b + 1) & MASK
         return int(finalize(np.array([h], U64) + U64(len(text)))[0])
 
     def arcs(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,14 +111,23 @@ class Pieces:
             maybe = np.flatnonzero(self.present[(key >> U64(44)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.keys, key[maybe]), len(self.keys) - 1)
             hit = self.keys[at] == key[maybe]
-            begins.append(live[maybe[hit]])
-            ends.append(live[maybe[hit]] + size)
-            pieces.append(self.ids[at[hit]])
+            live = live[maybe[hit]]
+            found = self.ids[at[hit]]
+            whole = found >= 0
+            begins.append(live[whole])
+            ends.append(live[whole] + size)
+            pieces.append(found[whole])
         begin, finish, piece = np.concatenate(begins), np.concatenate(ends), np.concatenate(pieces)
         good = piece >= 0
         return begin[good], finish[good], piece[good]
 
 
+@lru_cache(maxsize=1)
+def pieces_at(path: str) -> Pieces:
+    """Read once in each process."""
+    return Pieces(path)
+
+
 def levels(key: np.ndarray) -> Iterator[np.ndarray]:
     """Runs of equal keys: indices of each, in rising order of key."""
     order = np.argsort(key, kind="stable")
@@ -183,7 +202,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def expecter(path: str, logp: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path)
+        pieces = pieces_at(path)
         total = np.zeros(pieces.n)
         for batch in batches:
             total += lattice(pieces, logp, batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(float))[1]
@@ -195,7 +214,7 @@ def expecter(path: str, logp: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]]
 
 def fit_pieces(counts: DataFrame, end_tokens: int, path: str, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """(natural log probability of each piece, of the end). Only sums per piece come to the driver."""
-    prior = Pieces(path).prior
+    prior = pieces_at(path).prior
     p = prior
     total = 0.0
     with np.errstate(divide="ignore"):
@@ -218,10 +237,11 @@ def fit_pieces(counts: DataFrame, end_tokens: int, path: str, rounds: int = ROUN
 
 def word_scorer(path: str, logp: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path)
+        pieces = pieces_at(path)
         for batch in batches:
             scores = lattice(pieces, logp, batch.column("word").to_pylist())[0]
-            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("c"), pa.array(scores)], ["hash", "c", "score"])
+            columns = [batch.column("hash"), batch.column("c"), batch.column("frequent"), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "c", "frequent", "score"])
 
     return run
 
@@ -233,34 +253,29 @@ ROWS = (
 
 
 def row_scorer(
-    path: str, logp: np.ndarray, end_logp: float, end_tokens: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray]
+    end_logp: float, end_tokens: int, hot: tuple[np.ndarray, np.ndarray, np.ndarray]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows with all but the counts of their rare words, whose hashes they carry along."""
-    hot_hash, hot_c, hot_score = hot
+    """Rows with the sums over their frequent words and the end, and the hashes of their rare words."""
+    last = np.array([0], U64)  # stands where there is no frequent word
+    hot_hash, hot_c, hot_score = hot if len(hot[0]) else (last, np.zeros(1, np.int64), np.zeros(1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path)
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, to, texts in groups(batch.column("text")):
-                words, texts, n = words_of(texts), lowered(texts), to - at
-                distinct, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
-                place = np.minimum(np.searchsorted(hot_hash, distinct), max(len(hot_hash) - 1, 0))
-                known = hot_hash[place] == distinct if len(hot_hash) else np.zeros(len(distinct), bool)
-                count = np.where(known, hot_c[place], 0) if len(hot_hash) else np.zeros(len(distinct), np.int64)
-                score = np.where(known, hot_score[place], 0.0) if len(hot_hash) else np.zeros(len(distinct))
-                new = np.flatnonzero(~known)
-                spelled = [
-                    texts.data[s:e].tobytes()
-                    for s, e in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist())
-                ]
-                score[new] = lattice(pieces, logp, spelled)[0]
+                words, n = words_of(texts), to - at
+                distinct, back = np.unique(words.hash, return_inverse=True)
+                place = np.minimum(np.searchsorted(hot_hash, distinct), len(hot_hash) - 1)
+                frequent = hot_hash[place] == distinct
+                count = np.where(frequent, hot_c[place], 0)
+                score = np.where(frequent, hot_score[place], 0.0)
                 of = words.text_of()
                 total = lambda per_word: np.bincount(of, weights=per_word[back], minlength=n)
-                rare = ~known[back]
-                pair, many = np.unique(of[rare] * (len(distinct) + 1) + back[rare], return_counts=True)
-                cuts = np.searchsorted(pair, np.arange(n + 1) * (len(distinct) + 1)).astype(np.int32)
-                hashes = distinct[pair % (len(distinct) + 1)].view(np.int64) if len(pair) else np.zeros(0, np.int64)
+                rare = ~frequent[back]
+                wide = len(distinct) + 1
+                pair, many = np.unique(of[rare] * wide + back[rare], return_counts=True)
+                cuts = np.searchsorted(pair, np.arange(n + 1) * wide).astype(np.int32)
+                hashes = distinct[pair % wide].view(np.int64) if len(pair) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key + np.arange(n)),
@@ -269,7 +284,7 @@ def row_scorer(
                         pa.array(words.counts + 1),
                         pa.array(total((count > 0).astype(float)).astype(np.int64) + (end_tokens > 0)),
                         pa.array(total(np.log10(count + 1)) + np.log10(end_tokens + 1)),
-                        pa.array((total(score) + end_logp) / np.log(10)),
+                        pa.array(total(score) + end_logp),
                         pa.ListArray.from_arrays(cuts, pa.array(hashes)),
                         pa.ListArray.from_arrays(cuts, pa.array(many.astype(np.int32))),
                     ],
@@ -297,26 +312,27 @@ def score_documents(docs: DataFrame, path: str = VOCABULARY, rounds: int = ROUND
     trained, distinct = trained + ends, distinct + (ends > 0)
     logp, end_logp = fit_pieces(counts, ends, path, rounds)
     frequent = (F.col("n") >= max(2, FREQUENT * tokens)) & (F.octet_length("word") <= FREQUENT_CHARS)
-    hot = (
-        counts.where(frequent)
-        .select("word", "hash", "c")
-        .mapInArrow(word_scorer(path, logp), "hash bigint, c bigint, score double")
-        .toArrow()
+    words = cut(
+        counts.select("word", "hash", "c", frequent.alias("frequent")).mapInArrow(
+            word_scorer(path, logp), "hash bigint, c bigint, frequent boolean, score double"
+        ),
+        "scores",
     )
+    hot = words.where("frequent").toArrow()
     hashes = hot["hash"].to_numpy().view(U64)
     by = np.argsort(hashes)
     shipped = (hashes[by], hot["c"].to_numpy()[by], hot["score"].to_numpy()[by])
-    scored = cut(rows.mapInArrow(row_scorer(path, logp, end_logp, ends, shipped), ROWS), "rows")
+    scored = cut(rows.mapInArrow(row_scorer(end_logp, ends, shipped), ROWS), "rows")
     rare = scored.select("row_key", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
         "row_key", F.col("w.rare").alias("hash"), F.col("w.rare_n").alias("times")
     )
-    learned = counts.where((F.col("c") > 0) & ~frequent).select("hash", "c")
     sums = (
-        rare.join(learned, "hash")
+        rare.join(words.where("NOT frequent").select("hash", "c", "score"), "hash")
         .groupBy("row_key")
         .agg(
-            F.sum("times").alias("more_known"),
+            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(F.col("times") * F.log10(F.col("c").cast("double") + 1)).alias("more_log"),
+            F.sum(F.col("times") * F.col("score")).alias("more_score"),
         )
     )
     rows_total = float(np.log10(trained + distinct + 1))
@@ -329,7 +345,7 @@ def score_documents(docs: DataFrame, path: str = VOCABULARY, rounds: int = ROUND
         (
             F.col("log_counts") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(rows_total)
         ).alias("base_score"),
-        F.col("log_score").alias("score"),
+        ((F.col("log_score") + F.coalesce("more_score", F.lit(0.0))) / F.lit(float(np.log(10)))).alias("score"),
     )
 
 
