@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm import decontaminate, language, minmax, mixing, pii
-from waymark.llm.common import cut
+from waymark.llm.common import cut, free_name
 
 #: The model of stage 1 and the clusters of stage 2 can't be said in SQL.
 ORACLE_SQL = None
@@ -34,14 +34,16 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; n_chars follows the new text."""
-    changed = pii.pseudonymise(docs)
-    length = F.when(F.size("pii") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    found = free_name(docs, "pii")
+    changed = pii.pseudonymise(docs, column=found)
+    length = F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return changed.withColumn("n_chars", length).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents repeated to their source's rate, numbered by mix_copy."""
-    return mixing.emit(mixing.plan_mix(docs)).select(*docs.columns, "mix_copy")
+    own = [c for c in docs.columns if c not in mixing.ADDED]
+    return mixing.emit(mixing.plan_mix(docs)).select(*own, "mix_copy")
 
 
 STAGES = [

@@ -43,6 +43,20 @@ def test_stages_match_brute_force(spark, sf, monkeypatch):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, five.collect()))
 
 
+def test_clashing_columns_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["pii", "kind", "node", "class", "has_letter", "nth", "score", "mix_salt", "mix_source"]
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    docs = docs.union(docs.limit(20))
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf)
+        if name != "mix_sources":
+            assert docs.columns == before.columns
+        assert {r.pii for r in docs.select("pii").distinct().collect()} == {0}
+    assert docs.groupBy("doc_id", "mix_copy").count().where("count > 1").count() == 0
+
+
 def test_nulls_and_an_empty_table(spark, sf):
     rows = spark.createDataFrame(
         [

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free_name, table
 from .tokens import LOWER, Texts, groups
 
 BUCKETS = 1 << 15
@@ -225,12 +225,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(predictor(model), SCHEMA)
 
 
-def keeper(model: Model | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def keeper(model: Model | None, letter: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             names = np.full(batch.num_rows, None, object)
-            has = batch.column("_has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            has = batch.column(letter).to_numpy(zero_copy_only=False).astype(bool)
             for at, to, texts in groups(batch.column("text")) if model is not None else ():
                 p = model.probabilities(texts)
                 good[at:to] = has[at:to] & (p.max(1) >= model.threshold)
@@ -238,9 +238,9 @@ def keeper(model: Model | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             columns = [
                 pa.array(names, pa.string()) if name == "lang" else batch.column(name)
                 for name in batch.schema.names
-                if name != "_has_letter"
+                if name != letter
             ]
-            kept = pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "_has_letter"])
+            kept = pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != letter])
             yield kept.filter(pa.array(good))
 
     return run
@@ -248,8 +248,9 @@ def keeper(model: Model | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs``, all columns, whose language isn't rejected; lang becomes the prediction."""
-    marked = docs.withColumn("_has_letter", F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)))
-    return marked.mapInArrow(keeper(model), docs.schema)
+    letter = free_name(docs, "has_letter")
+    marked = docs.withColumn(letter, F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)))
+    return marked.mapInArrow(keeper(model, letter), docs.schema)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

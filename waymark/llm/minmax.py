@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import checked_broadcast, cut, table
+from .common import checked_broadcast, cut, free_name, table
 from .graph import components
 from .tokens import U64, finalize, fold, groups, shingle_sets, words_of
 
@@ -298,7 +298,8 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     marked = checked_broadcast(repeated)
     again = stay.join(marked, "doc_id", "left_semi").select(docs.columns)
     by = W.partitionBy("doc_id", "text").orderBy(*[F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")])
-    once = again.withColumn("_row", F.row_number().over(by)).where("_row = 1").drop("_row")
+    nth = free_name(again, "nth")
+    once = again.withColumn(nth, F.row_number().over(by)).where(F.col(nth) == 1).drop(nth)
     return stay.join(marked, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 

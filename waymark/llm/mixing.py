@@ -28,6 +28,11 @@ MAX_BROADCAST_BYTES = 1_000_000
 SALTS = 64
 
 
+#: Columns that planning and emitting add, or use on the way.
+ADDED = ["size", "source", "source_size", "target", "rate", "copies", "copy", "salt", "salt_r"]
+ADDED = [f"mix_{name}" for name in ADDED]
+
+
 def size_of(column: str = "text") -> Column:
     return F.regexp_count(text_or_empty(column), F.lit(WORD)).cast("long")
 
@@ -78,7 +83,7 @@ def draw(seed: int) -> Column:
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 7) -> DataFrame:
     """Every row of ``docs`` once, with mix_size, mix_source_size, mix_target, mix_rate, mix_copies."""
-    sized = docs.withColumn("mix_size", size_of())
+    sized = docs.drop(*ADDED).withColumn("mix_size", size_of())
     per_source = cut(rates(sized.select("source", "mix_size"), weights, cap), "rates")
     n, name_bytes = per_source.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("mix_source")), F.lit(0))).first()
     if n <= MAX_BROADCAST_SOURCES and name_bytes <= MAX_BROADCAST_BYTES:

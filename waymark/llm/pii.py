@@ -15,7 +15,7 @@ have no fixed format to permute, get a keyed name.
 What looks alike but fails validation stays as it is. Defined results:
 - null text stays null, with counts 0; empty texts and texts without findings are unchanged;
 - repeated rows get equal results; a null doc_id keeps its row; an empty table gives no rows;
-- ``pseudonymise`` keeps all columns in place; its count column is named ``pii`` and replaces one of that name.
+- ``pseudonymise`` keeps all columns in place; the column it adds, ``pii`` unless told otherwise, replaces one of that name.
 """
 
 from __future__ import annotations
@@ -215,23 +215,23 @@ def pseudonym(value: Column, key: str) -> Column:
 FOUND = "array<struct<kind:string,text:string>>"
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with text replaced, and pii: the kinds replaced, in order of the text. No shuffle."""
+def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "pii") -> DataFrame:
+    """``docs`` with text replaced, and in ``column`` the kinds replaced, in order of the text. No shuffle."""
     pattern = F.lit(ANY)
     text = F.col("text")
     found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: pseudonym(m, key))
     some = F.when(F.regexp_like(text, F.lit("[@0-9]")), found).otherwise(F.array().cast(FOUND))
-    marked = docs.withColumn("pii", F.coalesce(some, F.array().cast(FOUND)))
+    marked = docs.withColumn(column, F.coalesce(some, F.array().cast(FOUND)))
     rebuilt = F.array_join(
         F.zip_with(
             F.split(text, pattern, -1),
-            F.transform("pii", lambda p: p["text"]),
+            F.transform(column, lambda p: p["text"]),
             lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))),
         ),
         "",
     )
-    return marked.withColumn("text", F.when(F.size("pii") > 0, rebuilt).otherwise(text)).withColumn(
-        "pii", F.filter(F.transform("pii", lambda p: p["kind"]), lambda k: k.isNotNull())
+    return marked.withColumn("text", F.when(F.size(column) > 0, rebuilt).otherwise(text)).withColumn(
+        column, F.filter(F.transform(column, lambda p: p["kind"]), lambda k: k.isNotNull())
     )
 
 
