@@ -38,6 +38,8 @@ MAX_LANGUAGES = 200
 CALIBRATION_PART = 5
 #: Share of rightly labelled calibration rows that rejection may cost.
 REJECTED_SHARE = 0.001
+#: The threshold at most: a language that is likelier than all others together isn't rejected.
+HIGHEST_THRESHOLD = 0.5
 
 BLANK = 32
 LETTERS = np.full(256, BLANK, np.uint8)
@@ -133,7 +135,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 12, epochs: i
     right = best.argmax(1) == truth
     confidence = np.sort(best.max(1)[right])
     threshold = float(confidence[int(len(confidence) * REJECTED_SHARE)]) if len(confidence) else 0.0
-    return Model(languages, scores.astype(np.float64), bias.astype(np.float64), temperature, min(threshold, 0.6))
+    return Model(languages, scores.astype(np.float64), bias.astype(np.float64), temperature, min(threshold, HIGHEST_THRESHOLD))
 
 
 def calibrate(logits: np.ndarray, truth: np.ndarray) -> float:
