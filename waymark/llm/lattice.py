@@ -42,6 +42,7 @@ FREQUENT = 1e-6
 #: Words longer than that stay out of the broadcast table, to bound its bytes while it is made.
 FREQUENT_CHARS = 64
 LONG = 64
+COUNTED_BYTES = 1 << 21
 MASK = (1 << 64) - 1
 BLOCK_BYTES = 400_000
 
@@ -187,10 +188,10 @@ def lowered(texts: Texts) -> Texts:
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n, n of them to train on), summed within groups of rows."""
+    """(word, n, n of them to train on), summed within groups of rows: larger ones, for fewer rows to shuffle."""
     for batch in batches:
         held = batch.column("held_out").to_numpy(zero_copy_only=False)
-        for at, to, texts in groups(batch.column("text")):
+        for at, to, texts in groups(batch.column("text"), COUNTED_BYTES):
             words, texts = words_of(texts), lowered(texts)
             _, first, back, count = np.unique(words.hash, return_index=True, return_inverse=True, return_counts=True)
             learned = ~held[at:to].astype(bool)[words.text_of()]

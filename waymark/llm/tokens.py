@@ -21,7 +21,7 @@ LOWER = SAME.copy()
 LOWER[65:91] += 32
 
 #: Texts are worked on in groups of about so many bytes; a longer text is a group of its own.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 19
 #: Words are found and hashed in pieces of about so many bytes.
 PIECE_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -62,7 +62,7 @@ class Texts:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
-def groups(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
+def groups(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """(first row, row after the last, texts) of runs of rows; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -75,7 +75,7 @@ def groups(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + GROUP_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
         yield at, to, Texts(raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at])
         at = to
 
