@@ -286,9 +286,13 @@ def fit(sample: list[str], copies: int = 30, epochs: int = 4, seed: int = 13) ->
 
 
 def train(docs: DataFrame) -> Model:
+    """A hash draw of about four times the sample comes first, so no task sends a whole sample to the driver."""
+    spread = 1 << 30
+    most = min(spread, 4 * SAMPLE_ROWS * spread // max(docs.count(), 1))
+    h = F.xxhash64("doc_id", "text")
     rows = (
-        docs.where(F.length("text") <= SAMPLE_CHARS)
-        .select("text", F.xxhash64("doc_id", "text").alias("h"))
+        docs.where((F.length("text") <= SAMPLE_CHARS) & (F.pmod(h, F.lit(spread)) < most))
+        .select("text", h.alias("h"))
         .orderBy("h", "text")
         .limit(SAMPLE_ROWS)
         .collect()
