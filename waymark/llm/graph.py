@@ -17,7 +17,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links every larger neighbour of a node to the node's least neighbour, then
     every smaller one; rounds end when no edge changes. Each round's edges are written to the shared folder.
-    Nodes with many neighbours are aggregated before they are joined. No edges: no rows.
+    Nodes with many neighbours are aggregated before they are joined, and the aggregate is written
+    first, so that a join with such a node can be split. No edges: no rows.
     """
     now = cut(
         edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
@@ -25,10 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = cut(large, "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = cut(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         before, state = state, _state(now)
