@@ -76,6 +76,18 @@ def test_recall_against_brute_force():
     assert len(got) >= 0.95 * len(want) and len(want) > 250
 
 
+def test_no_leak_of_a_long_item_is_lost():
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for size in (60, 100, 200, 400, 800):
+        items = [(i, " ".join(rng.choices(vocabulary, k=size))) for i in range(12)]
+        k = int(D.allowed_edits(np.array([size]))[0])
+        docs = [" ".join(rng.choices(vocabulary, k=40) + edited(rng, t.split(), k, vocabulary) + ["end"]) for _, t in items]
+        index = D.build_index(items)
+        _, _, texts = next(groups(pa.array(docs), 1 << 30))
+        assert {(int(r[0]), int(index.ids[r[1]])) for r in D.leaks_in(texts, index)} == {(i, i) for i in range(12)}
+
+
 def test_planted_passages_in_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     items = spark.read.parquet(f"{sf}/benchmark.parquet")

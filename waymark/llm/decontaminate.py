@@ -1,4 +1,4 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
+"""Benchmark decontamination: anchored windows, a bound on common words, exact edit verification.
 
 Texts are words (A-Z lower-cased, ASCII punctuation read as blanks). An item of n words
 leaks into a document if some run of the document's words is within k word edits of it,
@@ -7,10 +7,9 @@ k = n // 5 (at most n // 3 - 1). The search:
 1. Windows: within k edits one of k + 1 segments of the item stands unchanged in the
    document, so a window of the item's size is laid at every place where the rarest three words of
    one segment match. No leak is lost by this.
-2. Candidates: each window and item is embedded by CGK random walks (which step on at
-   every symbol by a shared random bit), which turns edit distance into Hamming
-   distance; a window is a candidate if a bit sample of the two embeddings
-   agrees in one of the repetitions.
+2. Candidates: a run within k edits keeps n - k of the item's words, so a window is a candidate
+   if at least so many stand in it or within k words of it. No leak is lost by this either,
+   whatever the item's length.
 3. Verification: the exact edit distance between the item and the best run of words
    around each candidate.
 
@@ -41,9 +40,8 @@ from .tokens import U64, Texts, Words, finalize, groups, shingles_of, words_of
 
 LEAST_WORDS = 8
 ANCHOR = 3
-#: Recall of pairs within k edits, by these repetitions and sample sizes, is tested.
-REPETITIONS = 40
-SAMPLED = 3
+#: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
+WINDOWS, CELLS = 512, 1 << 20
 #: Items go to the executors in blocks of about so many bytes of text.
 BLOCK_BYTES = 4_000_000
 
@@ -61,17 +59,16 @@ def allowed_edits(n: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """A block of items: symbols padded to one width, anchors, embeddings' samples."""
+    """A block of items, symbols end to end: item k is symbols[bounds[k]:bounds[k + 1]]; and their anchors."""
 
     ids: np.ndarray
     size: np.ndarray
     edits: np.ndarray
     symbols: np.ndarray
+    bounds: np.ndarray
     anchor_hash: np.ndarray
     anchor_item: np.ndarray
     anchor_place: np.ndarray
-    taken: np.ndarray
-    keys: np.ndarray
 
 
 def padded(flat: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
@@ -83,28 +80,13 @@ def padded(flat: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarra
     return np.where(inside, flat[np.clip(place, 0, len(flat) - 1)], U64(0))
 
 
-def embed(symbols: np.ndarray, size: np.ndarray, taken: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Per row and repetition one hash of the sampled positions of its CGK embedding.
-
-    taken[item, repetition, step] tells the sampled steps; of[row] is the row's item.
-    """
-    rows, width = symbols.shape
-    reps = taken.shape[1]
-    at = np.zeros((rows, reps), np.int64)
-    keys = np.zeros((rows, reps), U64)
-    line = np.arange(rows)[:, None]
-    salts = finalize(np.arange(1, reps + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))[None, :]
-    steps = np.arange(3 * int(size.max(initial=0)), dtype=U64) * U64(0xA24BAED4963EE407)
-    for step in range(len(steps)):
-        over = at >= size[:, None]
-        symbol = np.where(over, U64(1), symbols[line, np.minimum(at, width - 1)])
-        keys = np.where(taken[of, :, step], (keys ^ symbol) * U64(0xD6E8FEB86659FD93) + U64(step), keys)
-        coin = ((symbol ^ (salts + steps[step])) * U64(0xBF58476D1CE4E5B9)) >> U64(63)
-        at += coin.astype(np.int64)
-    return keys
-
-
-def build_index(items: list[tuple[int, str | None]], seed: int = 3) -> Index | None:
+def spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the places first[row] up to first[row] + count[row]."""
+    row = np.repeat(np.arange(len(first)), count)
+    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def build_index(items: list[tuple[int, str | None]]) -> Index | None:
     """The index of the items that have LEAST_WORDS words or more, or None without any."""
     order = sorted((i, t) for i, t in items if i is not None and t)
     if not order:
@@ -136,23 +118,15 @@ def build_index(items: list[tuple[int, str | None]], seed: int = 3) -> Index | N
             item.append(k)
             place.append(at - bounds[k])
     by = np.argsort(np.array(chosen, U64), kind="stable")
-    width = int(size.max())
-    rng = np.random.default_rng(seed)
-    taken = np.zeros((len(size), REPETITIONS, 3 * width), bool)
-    for k, n in enumerate(size):  # steps beyond the walk's usual end tell nothing: sample the first 2n
-        steps = rng.integers(0, 2 * n, (REPETITIONS, SAMPLED))
-        taken[k, np.arange(REPETITIONS)[:, None], steps] = True
-    symbols = padded(flat, bounds[:-1], bounds[:-1], bounds[1:], width)
     return Index(
         np.array([order[k][0] for k in good], np.int64),
         size,
         edits,
-        symbols,
+        flat,
+        bounds,
         np.array(chosen, U64)[by],
         np.array(item)[by],
         np.array(place)[by],
-        taken,
-        embed(symbols, size, taken, np.arange(len(size))),
     )
 
 
@@ -172,34 +146,47 @@ def windows_of(words: Words, index: Index) -> tuple[np.ndarray, np.ndarray, np.n
     return laid[:, 0], laid[:, 1], laid[:, 2]
 
 
+def surroundings(
+    words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the windows, k words wider on each side."""
+    slack = index.edits[item]
+    begin = np.maximum(start - slack, words.bounds[text])
+    return begin, np.minimum(start + index.size[item] + slack, words.bounds[text + 1])
+
+
 def candidates_of(
     words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
 ) -> np.ndarray:
-    """Mask of the windows of which a sample agrees with the item's in some repetition."""
-    width = index.symbols.shape[1]
-    symbols = padded(words.hash, start, words.bounds[text], words.bounds[text + 1], width)
-    keys = embed(symbols, index.size[item], index.taken, item)
-    return (keys == index.keys[item]).any(axis=1)
+    """Mask of the windows around which enough of the item's words stand, in any order, to be within k edits."""
+    begin, end = surroundings(words, index, text, item, start)
+    row, place = spread(begin, end - begin)
+    there = np.unique(finalize(words.hash[place] + row.astype(U64) * U64(0x9E3779B97F4A7C15)))
+    row, place = spread(index.bounds[item], index.size[item])
+    own = finalize(index.symbols[place] + row.astype(U64) * U64(0x9E3779B97F4A7C15))
+    stands = there[np.minimum(np.searchsorted(there, own), len(there) - 1)] == own
+    common = np.bincount(row[stands], minlength=len(item))
+    return common >= index.size[item] - index.edits[item]
 
 
 def edit_distances(
     words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """(least edits, word after the run) between each item and any run of words around its window."""
-    slack = index.edits[item]
-    begin = np.maximum(start - slack, words.bounds[text])
-    end = np.minimum(start + index.size[item] + slack, words.bounds[text + 1])
+    begin, end = surroundings(words, index, text, item, start)
     width = int((end - begin).max())
     run = padded(words.hash, begin, begin, end, width)
+    first, size = index.bounds[item], index.size[item]
+    symbols = padded(index.symbols, first, first, first + size, int(size.max()))
     steps = np.arange(width + 1)
     row = np.zeros((len(item), width + 1), np.int64)  # a run may begin anywhere
-    for i in range(int(index.size[item].max())):
-        symbol = index.symbols[item, i][:, None]
+    for i in range(symbols.shape[1]):
+        symbol = symbols[:, i][:, None]
         new = np.empty_like(row)
         new[:, 0] = i + 1
         new[:, 1:] = np.minimum(row[:, :-1] + (run != symbol), row[:, 1:] + 1)
         new = np.minimum.accumulate(new - steps, axis=1) + steps
-        row = np.where((i < index.size[item])[:, None], new, row)
+        row = np.where((i < size)[:, None], new, row)
     best = row.argmin(axis=1)
     return row[np.arange(len(item)), best], begin + best
 
@@ -208,9 +195,13 @@ def leaks_in(texts: Texts, index: Index) -> np.ndarray:
     """Rows (text, item, edits, first word, word after the last), one per text and item."""
     words = plain_words(texts)
     text, item, start = windows_of(words, index)
-    found = []
-    for a in range(0, len(text), 512):
-        t, k, s = text[a : a + 512], item[a : a + 512], start[a : a + 512]
+    by = np.argsort(-index.size[item], kind="stable")
+    text, item, start = text[by], item[by], start[by]
+    found, a = [], 0
+    while a < len(text):
+        b = a + min(max(CELLS // (2 * int(index.size[item[a]])), 1), WINDOWS)
+        t, k, s = text[a:b], item[a:b], start[a:b]
+        a = b
         mask = candidates_of(words, index, t, k, s)
         t, k, s = t[mask], k[mask], s[mask]
         if len(t):
