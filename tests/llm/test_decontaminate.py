@@ -120,3 +120,33 @@ def test_edge_rows(spark):
     assert D.find_leaks(docs, items.limit(0)).count() == 0
     assert D.drop_leaks(docs.limit(0), items).count() == 0
     assert D.drop_leaks(docs, items.limit(0)).count() == 7
+
+
+def test_short_items_and_scripts_without_blanks(spark, tmp_path):
+    chinese = "人工智能正在改变我们学习和工作的方式，它的影响十分深远。"
+    thai = "ภาษาไทยเขียนติดกันโดยไม่เว้นวรรคระหว่างคำ"
+    rare = "𠮷野家で牛丼を食べた"
+    items = spark.createDataFrame(
+        [(1, chinese), (2, thai), (3, "to be or not to be"), (4, "one two"), (5, "水。"), (6, None), (7, ""), (8, rare)],
+        "item_id bigint, text string",
+    )
+    docs = spark.createDataFrame(
+        [
+            (1, f"新闻：{chinese}完"),
+            (2, "新闻" + chinese.replace("学习", "读书").replace("，", " ") + "end"),
+            (3, f"x{thai}y"),
+            (4, "He said: To be, or not to be!"),
+            (5, "to be or never to be"),
+            (6, "one two 水"),
+            (7, "天气很好，我们去公园散步。Георгий écrit ภาษา"),
+            (8, f"昨日{rare}。"),
+        ],
+        "doc_id bigint, text string",
+    )
+    got = {(r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()}
+    assert got == {(1, 1, 0), (2, 1, 2), (3, 2, 0), (4, 3, 0), (8, 8, 0)}
+    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [5, 6, 7]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = D.op2_decontaminate(spark, str(tmp_path)).where("edits IS NULL").collect()
+    assert {(r.doc_id, r.item_id, r.item_words) for r in rows} == {(None, 4, 2), (None, 5, 1)}

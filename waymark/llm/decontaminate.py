@@ -1,8 +1,10 @@
 """Benchmark decontamination: anchored windows, a bound on common words, exact edit verification.
 
-Texts are words (A-Z lower-cased, ASCII punctuation read as blanks). An item of n words
+Texts are words (A-Z lower-cased, ASCII punctuation read as blanks). In scripts that are written
+without blanks (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan and others) each
+character is a word, and their punctuation is blanks too. An item of n words
 leaks into a document if some run of the document's words is within k word edits of it,
-k = n // 5 (at most n // 3 - 1). The search:
+k = n // 5 (at most n // 3 - 1), or 0 if n is under LEAST_WORDS. The search:
 
 1. Windows: within k edits one of k + 1 segments of the item stands unchanged in the
    document, so a window of the item's size is laid at every place where the rarest three words of
@@ -17,8 +19,8 @@ Items are broadcast in blocks of bounded size, and documents are read in place:
 is shuffled, so no passage, however common, makes a hot key.
 
 Defined results:
-- null and empty texts hold no leak; items of fewer than LEAST_WORDS words are too short to
-  tell a leak and match nothing; repeated rows get repeated results; null doc_id keeps its rows;
+- null and empty texts hold no leak; items of fewer than ANCHOR words are too short to
+  tell a leak: they match nothing and are listed by ``not_searched``; repeated rows get repeated results; null doc_id keeps its rows;
 - an item that occurs several times in a document is reported once, at its nearest copy;
 - an empty table of documents or items gives no leak; further columns are kept by
   ``drop_leaks`` and ignored by ``find_leaks``.
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .tokens import U64, Texts, Words, finalize, groups, shingles_of, words_of
 
+#: Shorter items must stand word for word.
 LEAST_WORDS = 8
 ANCHOR = 3
 #: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
@@ -48,13 +51,46 @@ BLOCK_BYTES = 4_000_000
 PLAIN = np.arange(256, dtype=np.uint8)
 PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
 
+#: Code points (first, last) of letters of scripts written without blanks, by block, and of their blanks and punctuation.
+UNSPACED = np.array(
+    [(0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF)]
+    + [(0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF)]
+    + [(0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+)
+PUNCTUATION = np.array(
+    [(0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
+)
+
+
+def among(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ranges[:, 0], points, "right") - 1
+    return (at >= 0) & (points <= ranges[at, 1])
+
+
+def parted(texts: Texts) -> Texts:
+    """The texts with blanks around each character of scripts written without blanks."""
+    data = PLAIN[texts.data]
+    first = np.flatnonzero(data >= 0xE0)
+    if not len(first):
+        return Texts(data, texts.offsets)
+    wide = data[first] >= 0xF0
+    b = [data[np.minimum(first + j, len(data) - 1)].astype(np.int64) & 63 for j in range(4)]
+    point = np.where(wide, ((b[0] & 7) << 18) | (b[1] << 12) | (b[2] << 6) | b[3], ((b[0] & 15) << 12) | (b[1] << 6) | b[2])
+    blank = first[among(point, PUNCTUATION)]
+    for j in range(3):
+        data[blank + j] = 32
+    alone = among(point, UNSPACED)
+    cuts = np.unique(np.concatenate((first[alone], first[alone] + 3 + wide[alone])))
+    cuts = cuts[cuts < len(data)]
+    return Texts(np.insert(data, cuts, 32), texts.offsets + np.searchsorted(cuts, texts.offsets))
+
 
 def plain_words(texts: Texts) -> Words:
-    return words_of(Texts(PLAIN[texts.data], texts.offsets))
+    return words_of(parted(texts))
 
 
 def allowed_edits(n: np.ndarray) -> np.ndarray:
-    return np.minimum(n // 5, n // 3 - 1)
+    return np.where(n < LEAST_WORDS, 0, np.minimum(n // 5, n // 3 - 1))
 
 
 @dataclass
@@ -87,7 +123,7 @@ def spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def build_index(items: list[tuple[int, str | None]]) -> Index | None:
-    """The index of the items that have LEAST_WORDS words or more, or None without any."""
+    """The index of the items that have ANCHOR words or more, or None without any."""
     order = sorted((i, t) for i, t in items if i is not None and t)
     if not order:
         return None
@@ -95,7 +131,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index | None:
     for _, _, texts in groups(pa.array([t for _, t in order], pa.string())):
         words = plain_words(texts)
         hashes += [words.hash[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
-    good = [k for k, h in enumerate(hashes) if len(h) >= LEAST_WORDS]
+    good = [k for k, h in enumerate(hashes) if len(h) >= ANCHOR]
     if not good:
         return None
     hashes = [hashes[k] for k in good]
@@ -254,6 +290,22 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found) if found else empty
 
 
+def short_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at, to, texts in groups(batch.column("text")):
+            n = plain_words(texts).counts
+            short = pa.array((n < ANCHOR) & (texts.lengths() > 0))
+            ids = batch.column("item_id")[at:to].cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.filter(short), pa.array(n).filter(short)], ["item_id", "item_words"])
+
+
+def not_searched(items: DataFrame) -> DataFrame:
+    """Items with a text of fewer than ANCHOR words, in the columns of ``find_leaks``: doc_id and all of a leak are null."""
+    short = items.select("item_id", "text").mapInArrow(short_items, "item_id bigint, item_words bigint")
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    return short.select(*[c if c in short.columns else F.lit(None).cast("bigint").alias(c) for c in names])
+
+
 def dropper(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = build_index(items)
@@ -272,4 +324,6 @@ def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The leaks, and a row without edits for each item that is too short to be searched."""
+    items = table(spark, sf_dir, "benchmark")
+    return find_leaks(table(spark, sf_dir, "documents"), items).unionByName(not_searched(items))
