@@ -48,6 +48,24 @@ def test_held_out_variants(model):
     assert right >= 0.85 * total
 
 
+def test_notices_inside_longer_paragraphs(model):
+    before = "The code in this repository, with all documentation, tests and examples that members of the core team wrote over the years, is "
+    pad = " ".join(["some words without a stop"] * 300)
+    apache, mit, by = "licensed under the Apache License, Version 2.0", "released under the MIT License", "licensed under CC BY-SA 4.0"
+    texts = [
+        f"{before}{apache}.",
+        f"é {pad} {apache} {pad} {apache} {pad}",
+        f"{before}{mit}, while the pictures that come with it are {by} by those who drew them.",
+        f"{before}not to be sold under any license, version or terms of the general public library of the state.",
+        f"{before}{apache}. Released under the MIT License.",
+    ]
+    want = [[("Apache-2.0", apache)], [("Apache-2.0", apache)] * 2, [("MIT", mit), ("CC-BY-SA", by)], []]
+    want += [[("Apache-2.0", apache), ("MIT", mit.capitalize().replace("mit license", "MIT License"))]]
+    _, _, t = next(groups(pa.array(texts)))
+    got = [[(n["family"], x[n["start"] : n["end"]]) for n in found] for x, found in zip(texts, L.notices_in(t, model))]
+    assert got == want
+
+
 def test_lookalikes_are_unknown(model):
     lines = L.LOOKALIKES + ["A license plate was found near the general store in the public park."]
     _, _, t = next(groups(pa.array(["\n".join(lines)])))

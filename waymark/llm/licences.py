@@ -7,10 +7,13 @@ It is trained by stochastic gradient descent in numpy on the notices below, with
 dropped, replaced and added at random, against paragraphs of a bounded sample of documents
 and the look-alikes below. Temperature and threshold are calibrated on examples that training
 did not see. A prediction counts once the paragraph also resembles a notice of that family.
+Where a longer paragraph holds most bigrams of a notice in a run of words about as long as
+the notice, that run is scored by itself.
 
 Defined results:
 - null and empty texts have no notice; every row comes back, repeated rows with equal results;
-- adjacent paragraphs of one family are one notice; spans are in code points, end exclusive;
+- adjacent paragraphs of one family are one notice, a notice inside a longer paragraph stands for itself;
+  spans are in code points, end exclusive;
 - an empty table gives no rows (the model is then trained on the notices alone);
 - further input columns are ignored.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .decontaminate import PLAIN
+from .decontaminate import PLAIN, spread
 from .tokens import IS_BLANK, U64, Texts, Words, finalize, groups, words_of
 
 BUCKETS = 1 << 18
@@ -37,6 +40,9 @@ SAMPLE_CHARS = 20_000
 CONFIRMED = 0.4
 #: A paragraph that is a part of a longer notice: least share of its bigrams, and least words.
 CONTAINED, CONTAINED_WORDS = 0.75, 6
+#: A notice inside a longer paragraph: least share and number of its bigrams that stand there,
+#: in a run of at most so many times its length.
+HELD, HELD_BIGRAMS, HELD_WITHIN = 0.75, 3, 1.5
 UNKNOWN = "unknown"
 
 # Usual notices of each family.
@@ -194,6 +200,14 @@ class Model:
     threshold: float
     notices: dict[str, list[frozenset[int]]]
 
+    def __post_init__(self) -> None:
+        every = [(family, own) for family, texts in self.notices.items() for own in texts]
+        self.notice_family = [family for family, _ in every]
+        self.notice_size = np.array([len(own) for _, own in every])
+        pairs = sorted((g, k) for k, (_, own) in enumerate(every) for g in own)
+        self.pair_hash = np.array([g for g, _ in pairs], U64)
+        self.pair_notice = np.array([k for _, k in pairs])
+
     def probabilities(self, grams: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
         bucket = (grams >> U64(64 - 18)).astype(np.int64)
         size = np.bincount(of, minlength=n)
@@ -308,40 +322,113 @@ SCHEMA = (
 )
 
 
+@dataclass(frozen=True)
+class Held:
+    """Words first:last of a text's words, which hold this share of a family's notice."""
+
+    first: int
+    last: int
+    family: str
+    score: float
+    similarity: float
+
+
+def runs_of(p: Paragraphs, grams: np.ndarray, of: np.ndarray, model: Model) -> dict[int, list[tuple[int, int, int, int]]]:
+    """By paragraph the runs (bigrams in common, first word, word after the last, notice) that hold most of a notice."""
+    n, k = len(p.words.hash), len(model.notice_size)
+    need = np.maximum(np.ceil(HELD * model.notice_size), HELD_BIGRAMS)
+    inside = np.flatnonzero(of[1:n] == of[: n - 1])
+    low = np.searchsorted(model.pair_hash, grams[n:], "left")
+    row, pair = spread(low, np.searchsorted(model.pair_hash, grams[n:], "right") - low)
+    at, key = inside[row], of[inside[row]] * k + model.pair_notice[pair]
+    by = np.argsort(key, kind="stable")
+    at, key, pair = at[by], key[by], pair[by]
+    both, several = np.unique(np.unique(key * len(model.pair_hash) + pair) // len(model.pair_hash), return_counts=True)
+    runs: dict[int, list[tuple[int, int, int, int]]] = {}
+    for own in both[several >= need[both % k]].tolist():
+        a, b = np.searchsorted(key, [own, own + 1])
+        places, pairs, notice = at[a:b].tolist(), pair[a:b].tolist(), own % k
+        reach = int(HELD_WITHIN * model.notice_size[notice])
+        for i, begin in enumerate(places):
+            seen: set[int] = set()
+            end = begin
+            for place, one_pair in zip(places[i : i + reach], pairs[i : i + reach]):
+                if place >= begin + reach:
+                    break
+                if one_pair not in seen:
+                    seen.add(one_pair)
+                    end = place
+            if len(seen) >= need[notice]:
+                runs.setdefault(own // k, []).append((len(seen), begin, end + 2, notice))
+    return runs
+
+
+def held_in(p: Paragraphs, grams: np.ndarray, of: np.ndarray, model: Model, told: dict[int, str]) -> dict[int, list[Held]]:
+    """By paragraph the notices inside it, fullest runs first where they overlap; told[paragraph] is found already."""
+    out: dict[int, list[Held]] = {}
+    for j, runs in runs_of(p, grams, of, model).items():
+        used: set[int] = set()
+        found = []
+        for common, a, b, notice in sorted(runs, key=lambda r: (-r[0], r[2] - r[1], r[1:])):
+            family = model.notice_family[notice]
+            if family == told.get(j) or not used.isdisjoint(range(a, b)):
+                continue
+            run = Paragraphs(Words(p.words.start[a:b], p.words.end[a:b], p.words.hash[a:b], np.array([0, b - a])),
+                             np.zeros(1, np.int64), np.array([b - a]), np.zeros(1, np.int64))
+            prob = model.probabilities(*grams_of(run), 1)[0]
+            best = int(prob.argmax())
+            if model.families[best] == family and prob[best] >= model.threshold:
+                used.update(range(a, b))
+                found.append(Held(a, b, family, float(prob[best]), common / int(model.notice_size[notice])))
+        if found:
+            out[j] = sorted(found, key=lambda h: h.first)
+    return out
+
+
 def notices_in(texts: Texts, model: Model) -> list[list[dict]]:
     p = paragraphs_of(texts)
     out: list[list[dict]] = [[] for _ in range(texts.n)]
     if not len(p.first):
         return out
-    prob = model.probabilities(*grams_of(p), len(p.first))
+    grams, of = grams_of(p)
+    prob = model.probabilities(grams, of, len(p.first))
     best = prob.argmax(axis=1)
     hits = np.flatnonzero((best < len(model.families) - 1) & (prob[np.arange(len(best)), best] >= model.threshold))
-    if not len(hits):
+    whole: dict[int, float] = {}
+    for j in hits.tolist():
+        own = bigrams(texts.data[p.start[j] : p.end[j]].tobytes().decode("utf-8", "replace"))
+        similarity = model.resembles(own, int(p.last[j] - p.first[j]), model.families[best[j]])
+        if similarity:
+            whole[j] = similarity
+    held = held_in(p, grams, of, model, {j: model.families[best[j]] for j in whole})
+    if not whole and not held:
         return out
     points = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))
-    previous = -2
-    for j in hits.tolist():
-        family, i = model.families[best[j]], int(p.text[j])
-        s, e = int(p.start[j]), int(p.end[j])
-        own = bigrams(texts.data[s:e].tobytes().decode("utf-8", "replace"))
-        similarity = model.resembles(own, int(p.last[j] - p.first[j]), family)
-        if not similarity:
-            continue
+    previous = (-2, None)
+    for j in sorted(whole.keys() | held.keys()):
+        i = int(p.text[j])
         base = points[texts.offsets[i]]
-        found = {
-            "family": family,
-            "start": int(points[s] - base),
-            "end": int(points[e] - base),
-            "score": float(prob[j, best[j]]),
-            "similarity": similarity,
-        }
-        if previous == j - 1 and out[i] and out[i][-1]["family"] == family:
-            last = out[i][-1]
-            last["end"] = found["end"]
-            last["score"], last["similarity"] = max(last["score"], found["score"]), max(last["similarity"], similarity)
-        else:
-            out[i].append(found)
-        previous = j
+        if j in whole:
+            family, similarity, score = model.families[best[j]], whole[j], float(prob[j, best[j]])
+            start, end = int(points[p.start[j]] - base), int(points[p.end[j]] - base)
+            if previous[0] == j - 1 and out[i] and previous[1] is out[i][-1] and previous[1]["family"] == family:
+                last = out[i][-1]
+                last["end"] = end
+                last["score"], last["similarity"] = max(last["score"], score), max(last["similarity"], similarity)
+            else:
+                out[i].append({"family": family, "start": start, "end": end, "score": score, "similarity": similarity})
+            previous = (j, out[i][-1])
+        for h in held.get(j, []):
+            s, e = p.words.start[h.first], p.words.end[h.last - 1]
+            out[i].append(
+                {
+                    "family": h.family,
+                    "start": int(points[s] - base),
+                    "end": int(points[e] - base),
+                    "score": h.score,
+                    "similarity": h.similarity,
+                }
+            )
     return out
 
 
