@@ -124,3 +124,10 @@ def test_forms_links_and_edges(spark):
     assert one == two and out[5].text.endswith("é@ 12 v1.2.3.4")
     assert out[6].pii == ["card"] and out[8].pii == ["email"] and out[6].kind == 1
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+
+
+def test_dates_of_timestamps(spark):
+    rows = [(1, "2024-05-17"), (2, "at 2024-05-17T08:30:00Z, 2024-05-17t08:30 and 2024-05-17T, 2024-05-17Text")]
+    alone, text = (r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string"), KEY).collect())
+    assert alone != "2024-05-17"
+    assert text == f"at {alone}T08:30:00Z, {alone}t08:30 and 2024-05-17T, 2024-05-17Text"

@@ -10,7 +10,8 @@ have no fixed format to permute, get a keyed name.
 - phone numbers: all digits but a leading country code;
 - social security numbers: all nine digits; addresses: the four octets as one number;
 - dates from 1900 to 2099: the day's number, walked along its cycle until it is a day again,
-  written in the form it had. Day before month is tried first. Other dates stay.
+  written in the form it had. Day before month is tried first. Other dates stay. Of an ISO timestamp the date is
+  replaced and the time stays.
 
 What looks alike but fails validation stays as it is. Defined results:
 - null text stays null, with counts 0; empty texts and texts without findings are unchanged;
@@ -35,8 +36,8 @@ CARD = (
     r"(?![A-Za-z0-9])"
 )
 DATE = (
-    r"(?<![A-Za-z0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
-    r"(?![A-Za-z0-9])"
+    r"(?<![A-Za-z0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9])|(?![A-Za-z0-9]))"
+    r"|(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![A-Za-z0-9]))"
 )
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 IP = r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![A-Za-z0-9]|\.[0-9])"
