@@ -150,3 +150,11 @@ def test_short_items_and_scripts_without_blanks(spark, tmp_path):
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
     rows = D.op2_decontaminate(spark, str(tmp_path)).where("edits IS NULL").collect()
     assert {(r.doc_id, r.item_id, r.item_words) for r in rows} == {(None, 4, 2), (None, 5, 1)}
+
+
+def test_items_without_id(spark):
+    one, two = ("red green blue grey pink black white brown gold silver", "a b c d e f g h i j k l")
+    items = spark.createDataFrame([(1, one), (None, one), (None, two), (None, None)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, "x y")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()] == [(1, 1, 0), (2, None, 0)]
+    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [3]

@@ -21,6 +21,8 @@ is shuffled, so no passage, however common, makes a hot key.
 Defined results:
 - null and empty texts hold no leak; items of fewer than ANCHOR words are too short to
   tell a leak: they match nothing and are listed by ``not_searched``; repeated rows get repeated results; null doc_id keeps its rows;
+- an item with a null item_id is searched and reported with a null item_id, unless an item with an id has the
+  same text and stands for it;
 - an item that occurs several times in a document is reported once, at its nearest copy;
 - an empty table of documents or items gives no leak; further columns are kept by
   ``drop_leaks`` and ignored by ``find_leaks``.
@@ -122,9 +124,9 @@ def spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def build_index(items: list[tuple[int, str | None]]) -> Index | None:
+def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
     """The index of the items that have ANCHOR words or more, or None without any."""
-    order = sorted((i, t) for i, t in items if i is not None and t)
+    order = sorted(((i, t) for i, t in items if t), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     if not order:
         return None
     hashes = []
@@ -155,7 +157,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index | None:
             place.append(at - bounds[k])
     by = np.argsort(np.array(chosen, U64), kind="stable")
     return Index(
-        np.array([order[k][0] for k in good], np.int64),
+        np.array([order[k][0] for k in good], object),  # None where the item has no id
         size,
         edits,
         flat,
@@ -253,19 +255,22 @@ def leaks_in(texts: Texts, index: Index) -> np.ndarray:
     return rows[fresh]
 
 
-def item_blocks(items: DataFrame) -> list[list[tuple[int, str | None]]]:
+def item_blocks(items: DataFrame) -> list[list[tuple[int | None, str | None]]]:
     """The items in blocks of about BLOCK_BYTES, one at a time on the driver."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
     rows = items.where(F.col("text").isNotNull()).select("item_id", "text")
+    named, nameless = rows.where("item_id IS NOT NULL"), rows.where("item_id IS NULL")
+    if not nameless.isEmpty():
+        rows = named.unionByName(nameless.join(named.select("text"), "text", "left_anti"))
     return ([tuple(r) for r in rows.where(part == k).collect()] for k in range(n))
 
 
 SCHEMA = "doc_id bigint, item_id bigint, item_words bigint, edits bigint, first_word bigint, end_word bigint"
 
 
-def finder(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def finder(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = build_index(items)
         names = [f.split()[0] for f in SCHEMA.split(", ")]
@@ -274,7 +279,7 @@ def finder(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordB
             for at, _, texts in groups(batch.column("text")):
                 rows = leaks_in(texts, index)
                 if len(rows):
-                    columns = [ids.take(pa.array(rows[:, 0] + at)), pa.array(index.ids[rows[:, 1]])]
+                    columns = [ids.take(pa.array(rows[:, 0] + at)), pa.array(index.ids[rows[:, 1]], pa.int64())]
                     columns += [pa.array(index.size[rows[:, 1]])] + [pa.array(rows[:, j]) for j in (2, 3, 4)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -306,7 +311,7 @@ def not_searched(items: DataFrame) -> DataFrame:
     return short.select(*[c if c in short.columns else F.lit(None).cast("bigint").alias(c) for c in names])
 
 
-def dropper(items: list[tuple[int, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def dropper(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = build_index(items)
         for batch in batches:
