@@ -54,3 +54,17 @@ def test_labels_are_no_input(spark, sf):
     bare = docs.withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.lit("x"))
     a, b = (sorted(map(tuple, language.identify(d, model).collect())) for d in (docs, bare))
     assert a == b
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(8 * k + i, f"w{k:03d} " * 3, f"l{k:03d}", None, None) for k in range(210) for i in range(8)]
+    rows += [(2_000 + i, "foo bar baz " * 20, "short", None, None) for i in range(40)]
+    rows += [(3_000 + i, "schöne grüße " * 2_000, "long", None, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert docs.where(F.length("text") > language.MAX_CHARS).count() == 40
+    lengths = language.sampled(docs).select(F.max(F.length("text"))).first()[0]
+    model = language.train(docs)
+    assert lengths == language.MAX_CHARS and set(model.languages) == {r[2] for r in rows}
+    model = language.train(docs.where("doc_id >= 2000"))
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs.where("doc_id >= 2000"), model).collect()}
+    assert got == {r[0]: r[2] for r in rows if r[0] >= 2_000}

@@ -30,10 +30,12 @@ from .tokens import LOWER, Texts, groups
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
-#: The bound of the training sample: rows per language, characters per row, languages.
+#: The bound of the training sample: rows per language, rows of all languages, characters per row. With more
+#: languages each has fewer rows, but no less than LEAST_ROWS, so that none is lost by the draw.
 ROWS_PER_LANGUAGE = 1_000
+ROWS = 200_000
+LEAST_ROWS = 20
 MAX_CHARS = 20_000
-MAX_LANGUAGES = 200
 #: One sampled row in so many calibrates and isn't trained on.
 CALIBRATION_PART = 5
 #: Share of rightly labelled calibration rows that rejection may cost.
@@ -152,18 +154,21 @@ def learnable() -> Column:
 
 
 def sampled(docs: DataFrame, seed: int = 11) -> DataFrame:
-    """Labelled rows by a hash draw, about ROWS_PER_LANGUAGE of each language."""
-    rows = docs.where(learnable() & F.col("lang").isNotNull() & (F.length("text") <= MAX_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    """Labelled rows by a hash draw, about as many of each language; of a long text an excerpt from a drawn place."""
+    rows = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return rows.select("lang", "text").limit(0)
+    most = max(LEAST_ROWS, min(ROWS_PER_LANGUAGE, ROWS // len(counts)))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, ROWS_PER_LANGUAGE / r["count"]))])
+    rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, most / r["count"]))])
+    spare = F.greatest(F.length("text") - MAX_CHARS, F.lit(0))
+    begin = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "lang"), spare + 1) + 1).cast("int")
     return (
         rows.where(draw < F.try_element_at(rate, F.col("lang")))
-        .select("lang", "text", "doc_id")
+        .select("lang", F.substr("text", begin, F.lit(MAX_CHARS)).alias("text"), "doc_id")
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "text", "lang")
-        .limit(ROWS_PER_LANGUAGE * len(counts))
+        .limit(2 * most * len(counts))
     )
 
 
