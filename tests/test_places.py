@@ -111,6 +111,25 @@ def test_json_import(spark, tmp_path):
             files.read_json_places(spark, str(path))
 
 
+def test_json_lines_are_split_over_tasks(spark, tmp_path):
+    items = [None, 5, "x", [], {"name": 3, "category": ["P"], "lng": True, "lat": None}]
+    items += [{"name": f"é{i}", "category": "P", "lng": i / 10, "lat": "1" if i % 7 == 0 else 1} for i in range(500)]
+    array, lines = tmp_path / "a.json", tmp_path / "a.jsonl"
+    array.write_text(json.dumps(items))
+    lines.write_text("\n".join(json.dumps(x) + "\n" * (i % 3 == 0) for i, x in enumerate(items)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000b")
+    try:
+        assert spark.read.text(str(lines)).rdd.getNumPartitions() > 2
+        got = sorted(files.read_json_line_places(spark, str(lines)).collect(), key=lambda r: r.idx)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == sorted(files.read_json_places(spark, str(array)).collect(), key=lambda r: r.idx) and len(got) == 505
+    lines.write_text('{"name": "A"}\n[1,\n')
+    with pytest.raises(files.BadFile):
+        files.read_json_line_places(spark, str(lines))
+
+
 MARK = "<Placemark><name>{}</name>{}<Point><coordinates>{}</coordinates></Point></Placemark>"
 
 

@@ -1,4 +1,4 @@
-"""Readers of place files: JSON arrays and KML, as staged import rows with idx, and SQL folders."""
+"""Readers of place files: JSON arrays, JSON Lines and KML, as staged import rows with idx, and SQL folders."""
 
 from __future__ import annotations
 
@@ -51,7 +51,7 @@ def read_json_places(spark: SparkSession, path: str) -> DataFrame:
     """A file that holds one JSON array -> idx, is_object, the text fields, lng, lat; elements keep their JSON types.
 
     Invalid JSON or another top-level value: BadFile. One array is one JSON value, so the file is parsed in one
-    task; its elements are spread afterwards.
+    task; its elements are spread afterwards. Large files should come as JSON Lines, see ``read_json_line_places``.
     """
     whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
     kinds = {r[0] for r in whole.select(F.schema_of_variant("doc")).distinct().collect()}
@@ -60,6 +60,24 @@ def read_json_places(spark: SparkSession, path: str) -> DataFrame:
     items = whole.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer())).select(
         F.col("pos").cast("bigint").alias("idx"), "value"
     )
+    return _staged(items)
+
+
+def read_json_line_places(spark: SparkSession, path: str) -> DataFrame:
+    """A file with one JSON value a line -> the rows of ``read_json_places``. Spark splits the file over tasks.
+
+    Blank lines don't count; a line that isn't valid JSON: BadFile.
+    """
+    lines = spark.read.text(path).where(F.col("value").rlike(r"[^ \t\r]"))
+    bad = lines.where(F.try_parse_json("value").isNull()).count()
+    if bad:
+        raise BadFile(f"{path} has {bad} lines that aren't JSON")
+    placed = numbered(lines.withColumn("place_in_file", F.monotonically_increasing_id()), "place_in_file")
+    return _staged(placed.select(F.col("idx").cast("bigint").alias("idx"), F.try_parse_json("value").alias("value")))
+
+
+def _staged(items: DataFrame) -> DataFrame:
+    """idx and a JSON value -> idx, is_object, the text fields, lng, lat."""
     is_object = F.coalesce(F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)"), F.lit(False))  # an array counts as one
     value = F.col("value")
     return items.select(
