@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from waymark.llm import pii
@@ -50,15 +51,51 @@ def py_new(m):
             return m
         a, b = py_feistel(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, "ip")
         return f"{a >> 8}.{a % 256}.{b >> 8}.{b % 256}"
-    if m.startswith("+"):
-        code = re.match(r"\+\d{1,3}(?=[ .(-])", m)
-        code = code[0] if code else ""
-        return code + into(m[len(code) :], py_digits(re.sub(r"\D", "", m[len(code) :]), "phone"))
+    if m[0] in "+(" or re.fullmatch(r"\d{3}[ .-]\d{3}[ .-]\d{4}", m):
+        one, two = digits[0], digits[:2]
+        code = "" if m[0] != "+" else one if one in "17" else two if two in pii.CODES_2.split() else digits[:3]
+        return into(m, code + py_national(digits[len(code) :], code or "1"))
     if re.fullmatch(r"\d{3}-\d\d-\d{4}", m):
-        return into(m, py_digits(digits, "ssn"))
+        area, group, serial = map(int, m.split("-"))
+        if not (0 < area < 900 and area != 666 and group and serial):
+            return m
+        place = [x for x in range(1, 900) if x != 666]
+        a, b = py_feistel(place.index(area) * 99 + group - 1, serial - 1, 898 * 99, 9999, "ssn")
+        return f"{place[a // 99]:03d}-{a % 99 + 1:02d}-{b + 1:04d}"
     return m
 
 
+def py_national(n, code):
+    if code != "1" or len(n) != 10:
+        return py_digits(n, "phone")
+    area, exchange = int(n[:3]), int(n[3:6])
+    areas, exchanges = (200 if x < 200 else 800 for x in (area, exchange))
+    a = (area if areas == 200 else area - 200) * exchanges + (exchange if exchanges == 200 else exchange - 200)
+    a, b = py_feistel(a, int(n[6:]), areas * exchanges, 10_000, f"phone1-{areas}-{exchanges}")
+    x, y = divmod(a, exchanges)
+    return f"{x + (areas == 800) * 200:03d}{y + (exchanges == 800) * 200:03d}{b:04d}"
+
+
+def py_dates():
+    """Every date to its pseudonym, by listing the classes in the order that numbers them."""
+    first = datetime.date(1900, 1, 1)
+    every = [first + datetime.timedelta(i) for i in range(73_049)]
+    out = {}
+    for kind, (size, (a, b)) in pii.DATES.items():
+        own = [d for d in every if (d.day < 10, d.month < 10) == kind]
+        own.sort(key=lambda d: (d.month == 2 and d.day == 29, d))
+        assert len(own) == size
+        for n, d in enumerate(own):
+            at = n
+            while True:
+                x, y = py_feistel(at // b, at % b, a, b, f"date{kind[0]:d}{kind[1]:d}")
+                at = x * b + y
+                if at < size:
+                    break
+            out[d] = own[at]
+    return out
+
+
 def brute(text):
     return re.sub(
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -88,11 +125,68 @@ def test_digits_are_permuted(spark):
 
 
 def test_days_are_permuted(spark):
-    days = spark.range(pii.DAYS).select(F.date_add(F.lit(pii.FIRST_DAY).cast("date"), F.col("id").cast("int")).alias("d"))
-    out = days.select(pii.new_date(F.date_format("d", "yyyy-MM-dd"), KEY).alias("x")).distinct()
-    assert out.count() == pii.DAYS
-    lo, hi = out.agg(F.min("x"), F.max("x")).first()
-    assert (lo, hi) == ("1900-01-01", "2099-12-31")
+    days = spark.range(73_049).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    out = days.select("d", pii.new_date(F.date_format("d", "yyyy-MM-dd"), KEY).alias("x")).collect()
+    got = {r.d: datetime.date.fromisoformat(r.x) for r in out}
+    assert got == py_dates() and len(set(got.values())) == 73_049
+
+
+def test_dates_keep_their_digits(spark):
+    rows = [(1, "1/2/1999 01/02/1999 1999-02-01 01.2.1999"), (2, "12/31/1999 31.12.1999"), (3, "29/2/2000"), (4, "10/9/1950")]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string"), KEY).collect()]
+    new = py_dates()
+    a, b, c, d = (new[datetime.date(*x)] for x in ((1999, 2, 1), (1999, 12, 31), (2000, 2, 29), (1950, 9, 10)))
+    assert out[0] == f"{a.day}/{a.month}/{a.year} 0{a.day}/0{a.month}/{a.year} {a.isoformat()} 0{a.day}.{a.month}.{a.year}"
+    assert out[1] == f"{b.month}/{b.day}/{b.year} {b.day}.{b.month}.{b.year}"
+    assert out[2] == f"{c.day}/{c.month}/{c.year}" and out[3] == f"{d.day}/{d.month}/{d.year}"
+
+
+def test_spellings_of_a_number_are_linked(spark):
+    rows = [
+        (1, "+1 212 555 0123; +12125550123; (212) 555-0123; 212.555.0123; +1 (212) 555-0123"),
+        (2, "+44 20 7946 0958; +442079460958; +44 (20) 7946-0958"),
+        (3, "000-12-3456 666-12-3456 900-12-3456 123-00-6789 123-45-0000"),
+    ]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id bigint, text string"), KEY).collect()]
+    for text, code in ((out[0], "1"), (out[1], "44")):
+        numbers = [re.sub(r"\D", "", x) for x in text.split(";")]
+        assert {x if x.startswith(code) and len(x) > 10 else "1" + x for x in numbers} == {max(numbers, key=len)}
+        assert numbers[0] not in re.sub(r"[^\d;]", "", rows[0][1] + rows[1][1]).split(";")
+    assert re.fullmatch(r"1[2-9]\d\d[2-9]\d{6}", re.sub(r"\D", "", out[0].split(";")[0]))
+    assert out[2] == rows[2][1]
+
+
+def test_social_security_numbers_are_permuted(spark):
+    cells = spark.range(0, 898 * 99 * 9_999, 44_449).select(
+        F.format_string("%03d-%02d-%04d",
+            F.floor(F.col("id") / (99 * 9_999)) + 1 + (F.col("id") >= 665 * 99 * 9_999).cast("int"),
+            F.floor(F.col("id") / 9_999) % 99 + 1, F.col("id") % 9_999 + 1).alias("v"))
+    out = cells.select("v", pii.new_ssn(F.col("v"), KEY).alias("x")).collect()
+    assert all(r.x == py_new(r.v) != r.v for r in out) and len({r.x for r in out}) == len(out) > 10_000
+
+
+def test_texts_that_tire_a_pattern(spark):
+    n = 1_000_000
+    rows = [(1, "a@" + "b." * n + "com"), (2, "1." * n), (3, "a.b-" * n + "@x"), (4, "1234-" * n), (5, "+1 " * n), (6, "1/2/" * n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: (r.size, r.pii) for r in pii.pseudonymise(docs, KEY).select("doc_id", F.length("text").alias("size"), "pii").collect()}
+    assert out[1] == (len("u0123456789ab@example.org"), ["email"])
+    assert all(out[i][0] == len(text) for i, text in rows[1:])
+
+
+def test_a_key_is_asked_for(spark):
+    docs = spark.createDataFrame([(1, "a@b.cd")], "doc_id bigint, text string")
+    for key in ("", None):
+        with pytest.raises(ValueError):
+            pii.pseudonymise(docs, key)
+    one, two = (pii.pseudonymise(docs, key).first().text for key in ("x", "y"))
+    assert one != two
+    assert pii.session_key(spark) == pii.OPEN_KEY
+    spark.conf.set(pii.KEY_SETTING, "own")
+    try:
+        assert pii.session_key(spark) == "own"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
 
 
 def test_forms_links_and_edges(spark):
@@ -123,7 +217,7 @@ def test_forms_links_and_edges(spark):
     one, two = re.findall(r"u[0-9a-f]{12}@example.org", out[5].text)
     assert one == two and out[5].text.endswith("é@ 12 v1.2.3.4")
     assert out[6].pii == ["card"] and out[8].pii == ["email"] and out[6].kind == 1
-    assert pii.pseudonymise(docs.limit(0)).count() == 0
+    assert pii.pseudonymise(docs.limit(0), KEY).count() == 0
 
 
 def test_dates_of_timestamps(spark):

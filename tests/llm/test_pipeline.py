@@ -12,7 +12,7 @@ DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
 def test_stages_match_brute_force(spark, sf, monkeypatch):
-    monkeypatch.setattr("test_pii.KEY", pii.KEY)
+    monkeypatch.setattr("test_pii.KEY", pii.OPEN_KEY)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns
     names = [n for n, _ in corpus_pipeline.STAGES]
