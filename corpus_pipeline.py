@@ -33,9 +33,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by pseudonyms; n_chars follows the new text."""
+    """Personal data replaced by pseudonyms under the session's key (pii.KEY_SETTING); n_chars follows the new text."""
     found = free_name(docs, "pii")
-    changed = pii.pseudonymise(docs, column=found)
+    changed = pii.pseudonymise(docs, pii.session_key(spark), column=found)
     length = F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return changed.withColumn("n_chars", length).select(docs.columns)
 
