@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from waymark.llm import graph, minmax
 
@@ -73,6 +74,44 @@ def test_block_comparison_of_a_large_group(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute(rows, 3, 85)
 
 
+def test_repeated_ids_cost_one_set(spark, monkeypatch):
+    seen = {}
+
+    def counted(links, sets, percent):
+        out = minmax.cut(plain(links, sets, percent), "counted")
+        seen.update(links=links.count(), sets=sets.count(), confirmed=out.count())
+        return out
+
+    plain = minmax.confirm
+    monkeypatch.setattr(minmax, "confirm", counted)
+    words = [f"w{i}" for i in range(120)]
+    other = words[:60] + ["x"] + words[60:]
+    rows = [(1, " ".join(words))] * 1000 + [(2, " ".join(other))] * 1000 + [(3, "a b c d e f")]
+    out = minmax.link(spark.createDataFrame(rows, "doc_id bigint, text string")).groupBy("doc_id", "component_id").count().collect()
+    assert {tuple(r) for r in out} == {(1, 1, 1000), (2, 1, 1000), (3, 3, 1)}
+    assert seen == {"links": 1, "sets": 2, "confirmed": 1}
+
+
+def test_a_shared_half_makes_no_large_group(spark, monkeypatch):
+    """Documents of which half is the same text aren't near-duplicates: what is compared grows as their number does."""
+    compared = []
+
+    def counted(members, sets, percent):
+        compared.append(members.count())
+        return plain(members, sets, percent)
+
+    plain = minmax.compare_blocks
+    monkeypatch.setattr(minmax, "compare_blocks", counted)
+    common = " ".join(f"c{i}" for i in range(60))
+    for n in (1000, 4000):
+        docs = spark.range(n).select(
+            F.col("id").alias("doc_id"),
+            F.concat_ws(" ", F.lit(common), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat_ws("_", "id", i)), " ")).alias("text"),
+        )
+        assert minmax.link(docs).where("kept").count() == n
+    assert compared[1] <= 6 * compared[0] + 1000 and compared[1] < 4000
+
+
 def test_edge_rows(spark):
     rows = [
         (1, None, "a", None, None),

@@ -167,7 +167,8 @@ def test_social_security_numbers_are_permuted(spark):
 
 def test_texts_that_tire_a_pattern(spark):
     n = 1_000_000
-    rows = [(1, "a@" + "b." * n + "com"), (2, "1." * n), (3, "a.b-" * n + "@x"), (4, "1234-" * n), (5, "+1 " * n), (6, "1/2/" * n)]
+    m = n // 5
+    rows = [(1, "a@" + "b." * n + "com"), (2, "1." * m), (3, "a.b-" * m + "@x"), (4, "1234-" * m), (5, "+1 " * m), (6, "1/2/" * m)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = {r.doc_id: (r.size, r.pii) for r in pii.pseudonymise(docs, KEY).select("doc_id", F.length("text").alias("size"), "pii").collect()}
     assert out[1] == (len("u0123456789ab@example.org"), ["email"])

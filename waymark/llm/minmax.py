@@ -3,23 +3,24 @@
 A document is the set of its distinct word shingles. Under each permutation both the
 minimum and the maximum of the set are kept, so P hash evaluations give a signature of
 2P values whose share of agreements estimates the Jaccard similarity without bias. Bands
-of ROWS values each make candidates, which are confirmed on the full sets:
+of ROWS values each deal documents to buckets. Candidates are confirmed on the full sets:
 
 1. Documents with equal sets form a class; its node is its least doc_id.
-2. In each bucket of a band all nodes are linked to the least one. These candidate links are
-   confirmed, and their components taken: the confirmed components, and the clusters
-   that the candidate links form, confirmed or not.
-3. In a cluster of several components, links may be missing between two that aren't
-   the least of a bucket. Its nodes are dealt to blocks of bounded size, and pairs of blocks are compared set by
-   set, except blocks inside one component. Only links that join components come out.
+2. In each bucket all nodes are linked to the least one, the bucket's hub. These candidate links are confirmed,
+   and the components of the confirmed ones taken.
+3. Links may be missing in a bucket between nodes that aren't its hub. So where the others
+   of a bucket lie in several components, they are dealt to blocks of bounded size, and
+   pairs of blocks are compared set by set, except blocks inside one component. Buckets of the
+   same nodes are compared once. Only links that join components come out.
 
-So no link between candidates is lost, no pairs of a group are emitted, and copies
-cost what their class costs.
+So no link between candidates is lost, no pairs of a group are emitted, copies
+cost what their class costs, and a text shared by many documents makes no group larger than a bucket.
 
 Defined results:
 - null or empty text, or only blanks: no shingles, linked with nothing;
 - rows with a null doc_id are linked with nothing: component null, kept;
-- repeated rows are one document: each row comes back with the same component;
+- repeated rows are one document: each row comes back with the same component, and costs one set;
+- rows of one doc_id with different texts each go by their text; texts whose least doc_id is the same share their links;
 - an empty table gives no rows; further input columns are ignored, and kept by ``drop_near_duplicates``.
 """
 
@@ -39,11 +40,14 @@ from .graph import components
 from .tokens import U64, finalize, fold, groups, shingle_sets, words_of
 
 #: Values in a band, and the chance that no band finds a pair just at the threshold.
-ROWS = 5
+#: At a similarity of 0.85 a band of eight agrees with probability 0.27, at 0.5 with 0.004.
+ROWS = 8
 MISS = 1e-6
 #: A block holds about so many nodes, and about so many shingles.
-BLOCK_NODES = 256
+BLOCK_NODES = 128
 BLOCK_SHINGLES = 400_000
+#: Shingles that are permuted at once.
+CHUNK = 512
 #: Columns of shingles compared at once.
 STRIPE = 4096
 
@@ -51,28 +55,34 @@ STRIPE = 4096
 def permutations_for(percent: int) -> int:
     """Permutations whose minima and maxima fill enough bands for the threshold."""
     bands = log(MISS) / log(1 - (percent / 100) ** ROWS)
-    return ROWS * ceil(bands / 2)
+    return ROWS * ceil(bands / 2)  # so minima fill whole bands, and maxima too
+
+
+U32 = np.uint32
 
 
 class MinMax:
+    """Permutations of the upper 32 bits of shingle hashes; exact confirmation follows, so that width does."""
+
     def __init__(self, permutations: int, seed: int = 42):
         rng = np.random.default_rng(seed)
-        numbers = rng.integers(0, 1 << 63, (2, permutations, 1), dtype=U64)
-        self.factor, self.flip = numbers[0] * U64(2) + U64(1), numbers[1] * U64(2) + U64(rng.integers(0, 2))
+        self.factor = rng.integers(0, 1 << 31, (permutations, 1), dtype=U32) * U32(2) + U32(1)
+        self.flip = rng.integers(0, 1 << 32, (permutations, 1), dtype=U32)
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         """Minima, then maxima, under each permutation of a set that isn't empty."""
         low, high = None, None
-        for at in range(0, len(shingles), 2048):
-            value = (shingles[at : at + 2048] ^ self.flip) * self.factor
-            value ^= value >> U64(32)
+        short = (shingles >> U64(32)).astype(U32)
+        for at in range(0, len(short), CHUNK):
+            value = short[at : at + CHUNK] ^ self.flip
+            value *= self.factor
             least, most = value.min(axis=1), value.max(axis=1)
             low = least if low is None else np.minimum(low, least)
             high = most if high is None else np.maximum(high, most)
         return np.concatenate((low, high))
 
     def bands(self, shingles: np.ndarray) -> np.ndarray:
-        rows = self.signature(shingles).reshape(-1, ROWS)
+        rows = self.signature(shingles).reshape(-1, ROWS).astype(U64)
         return finalize(fold([rows[:, j] for j in range(ROWS)]) + np.arange(len(rows), dtype=U64))
 
 
@@ -112,7 +122,9 @@ def setter(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             for at, to, texts in groups(batch.column("text")):
                 sets = shingle_sets(words_of(texts), size)
                 arrays = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:to].cast(pa.int64()), arrays], ["node", "shingles"])
+                classes = pa.array([class_of(s) if len(s) else None for s in sets], pa.binary())
+                ids = batch.column("doc_id")[at:to].cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, classes, arrays], ["node", "class", "shingles"])
 
     return run
 
@@ -186,52 +198,81 @@ def confirm(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return links.join(one, "a").join(two, "b").where(100 * common >= percent * union).select("a", "b")
 
 
-def compare_blocks(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components that lie in one cluster.
+def with_roots(spokes: DataFrame, found: DataFrame) -> DataFrame:
+    """band, node, n and root, the component of the node so far."""
+    return spokes.join(found, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+
+
+def open_members(spokes: DataFrame, found: DataFrame) -> DataFrame:
+    """The spokes (with root) of buckets whose nodes lie in several components; of buckets of the same nodes one."""
+    h = F.xxhash64("node")
+    buckets = cut(
+        with_roots(spokes, found)
+        .groupBy("band")
+        .agg(
+            F.min("root").alias("lo"),
+            F.max("root").alias("hi"),
+            F.count("*").alias("many"),
+            F.bit_xor(h).alias("mix"),
+            F.sum(h % (1 << 31)).alias("total"),
+        )
+        .where("lo != hi")
+        .groupBy("many", "mix", "total")
+        .agg(F.min("band").alias("band")),
+        "open",
+    )
+    return cut(with_roots(spokes.join(buckets.select("band"), "band", "left_semi"), found), "members")
+
 
-    nodes: node, root (its component so far), cluster, n. A component of half a block or more has
-    blocks of its own; the others of a cluster share blocks. Nodes are dealt by hash.
+def compare_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet in a bucket.
+
+    members: band, node, root (its component so far), n. A component of half a block or more has
+    blocks of its own; the others of a bucket share blocks. Nodes are dealt by hash. The tables of blocks
+    are small, and written, so that a join with a large bucket can be split.
     """
-    several = nodes.groupBy("cluster").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_nodes = nodes.join(several.select("cluster"), "cluster", "left_semi")
-    sizes = open_nodes.groupBy("cluster", "root").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
+    sizes = members.groupBy("band", "root").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
     own = (F.col("m") >= BLOCK_NODES // 2) | (F.col("shingles") >= BLOCK_SHINGLES // 2)
-    pools = sizes.withColumn("pool", F.when(own, F.col("root")))  # null: the shared pool
-    blocks = pools.groupBy("cluster", "pool").agg(
+    pools = cut(sizes.withColumn("pool", F.when(own, F.col("root")).otherwise(-1)), "pools")  # -1: the shared pool
+    blocks = pools.groupBy("band", "pool").agg(
         F.greatest(
             F.ceil(F.sum("m") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES), F.lit(1).cast("bigint")
         ).alias("n_blocks")
     )
-    dealt = (
-        open_nodes.join(pools.select("cluster", "root", "pool"), ["cluster", "root"])
-        .join(
-            blocks.select("cluster", F.col("pool").alias("p"), "n_blocks"),
-            ["cluster"],
-        )
-        .where(F.col("pool").eqNullSafe(F.col("p")))
-        .select(
-            "cluster", "node", "root", "pool", F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("block")
-        )
-    )
-    dealt = cut(dealt.join(sets, "node"), "dealt")
-    listed = dealt.select("cluster", F.struct(F.coalesce("pool", F.lit(-1)).alias("pool"), "block").alias("block")).distinct()
-    pairs = (
-        listed.alias("x")
-        .join(listed.withColumnRenamed("block", "other").alias("y"), "cluster")
-        .where((F.col("block") <= F.col("other")) & ((F.col("block.pool") != F.col("other.pool")) | (F.col("block.pool") == -1)))
-        .withColumn("pair", F.struct("cluster", "block", "other"))
-    )
-    keyed = dealt.select(
-        "cluster", F.struct(F.coalesce("pool", F.lit(-1)).alias("pool"), "block").alias("block"), "node", "root", "shingles"
+    pools = cut(pools.join(blocks, ["band", "pool"]).select("band", "root", "pool", "n_blocks"), "blocks")
+    block = F.struct("pool", F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("part")).alias("block")
+    dealt = cut(members.join(pools, ["band", "root"]).select("band", "node", "root", block), "dealt")
+    listed = cut(dealt.select("band", "block").distinct(), "listed")
+    pairs = cut(
+        listed.join(listed.withColumnRenamed("block", "other"), "band")
+        .where("block <= other AND (block.pool != other.pool OR block.pool = -1)")
+        .withColumn("pair", F.struct("band", "block", "other")),
+        "pairs",
     )
-    left = keyed.join(pairs.select("cluster", "block", "pair"), ["cluster", "block"]).withColumn("side", F.lit(0))
+    left = dealt.join(pairs.select("band", "block", "pair"), ["band", "block"]).withColumn("side", F.lit(0))
     right = (
-        keyed.withColumnRenamed("block", "other")
-        .join(pairs.where("block != other").select("cluster", "other", "pair"), ["cluster", "other"])
+        dealt.withColumnRenamed("block", "other")
+        .join(pairs.where("block != other").select("band", "other", "pair"), ["band", "other"])
         .withColumn("side", F.lit(1))
     )
-    columns = ["pair", "side", "node", "root", "shingles"]
-    return left.select(columns).union(right.select(columns)).groupBy("pair").applyInArrow(comparer(percent), "a bigint, b bigint")
+    columns = ["pair", "side", "node", "root"]
+    sides = left.select(columns).union(right.select(columns)).join(sets.select("node", "shingles"), "node")
+    return sides.select(*columns, "shingles").groupBy("pair").applyInArrow(comparer(percent), "a bigint, b bigint")
+
+
+def sets_of(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """node, shingles of the documents among ``nodes``: one row for each text of a node, however often its row is repeated."""
+    wanted = checked_broadcast(nodes.select(F.col("node").alias("doc_id")))
+    rows = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    sets = rows.mapInArrow(setter(size), "node bigint, class binary, shingles array<bigint>").where("class IS NOT NULL")
+    repeated = cut(
+        signed.groupBy(F.col("doc_id").alias("node")).count().where("count > 1 AND node IS NOT NULL").select("node"), "twice"
+    )
+    if not repeated.isEmpty():
+        twice = checked_broadcast(repeated)
+        once = sets.join(twice, "node", "left_semi").dropDuplicates(["node", "class"])
+        sets = sets.join(twice, "node", "left_anti").unionByName(once)
+    return cut(sets.select("node", "shingles"), "sets")
 
 
 def link(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -250,31 +291,17 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     )
     banded = classes.select("node", "n", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.count("*").alias("many"), F.min("node").alias("hub")).where("many > 1")
-    stars = cut(
-        banded.join(hubs, "band")
-        .where("node != hub")
-        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        .distinct(),
-        "stars",
-    )
-    clusters = cut(components(stars), "clusters")
-    wanted = checked_broadcast(clusters.select(F.col("node").alias("doc_id")))
-    sets = cut(
-        docs.select("doc_id", "text")
-        .join(wanted, "doc_id", "left_semi")
-        .mapInArrow(setter(size), "node bigint, shingles array<bigint>"),
-        "sets",
+    spokes = cut(
+        banded.join(hubs.select("band", "hub"), "band").where("node != hub").select("band", "hub", "node", "n"), "spokes"
     )
+    stars = cut(spokes.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    nodes = cut(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "nodes")
+    sets = sets_of(docs, signed, nodes, size)
     found = cut(components(confirm(stars, sets, percent)), "found")
-    known = (
-        clusters.withColumnRenamed("root", "cluster")
-        .join(found, "node", "left")
-        .select("node", "cluster", F.coalesce("root", "node").alias("root"))
-        .join(classes.groupBy("node").agg(F.max("n").alias("n")), "node")
-    )
-    known = cut(known, "known")
-    joined = components(compare_blocks(known, sets, percent)).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    tops = known.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("top"))
+    joined = components(compare_blocks(open_members(spokes, found), sets, percent)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    tops = found.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("top"))
+    alone = joined.join(found, joined.root == found.node, "left_anti").select(F.col("root").alias("node"), "top")
+    tops = cut(tops.unionByName(alone), "tops")
     named = classes.select("class", "node").join(tops, "node", "left").select("class", F.coalesce("top", "node").alias("top"))
     return (
         signed.select("doc_id", F.col("n").alias("n_shingles"), "class")
