@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import cut
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _cut_with_state(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and their number and a sum of their hashes, observed while they are written."""
+    seen = Observation()
+    rows, total = F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total")
+    written = cut(edges.observe(seen, rows, total), "edges")
+    return written, (seen.get["rows"], seen.get["total"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,10 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes with many neighbours are aggregated before they are joined, and the aggregate is written
     first, so that a join with such a node can be split. No edges: no rows.
     """
-    now = cut(
-        edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
-    state = _state(now)
+    ordered = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now, state = _cut_with_state(ordered)
     while state[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
@@ -31,8 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = cut(large, "large")
         least = cut(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        before, state = state, _state(now)
+        before = state
+        now, state = _cut_with_state(small.union(least.select("a", F.col("m").alias("b"))).distinct())
         if state == before:
             break
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
