@@ -2,12 +2,22 @@
 
 Every text version is addressed by the SHA-256 of its content. A ledger table remembers
 which (blob, rule version) pairs were scanned and with what findings; only unseen pairs
-are scanned, once each, and the findings are joined back to all rows (paths) that hold
+are scanned, and the findings are joined back to all rows (paths) that hold
 the blob. Spans are in code points, end exclusive.
 
+No text is ever shuffled: what moves are the addresses of blobs and their spans. Rows to scan
+are chosen where they lie:
+
+- no unseen blob: no text is read again;
+- up to BROADCAST_ROWS unseen blobs: one row of each, told by a broadcast table of short keys;
+- more: rows whose key is marked in broadcast bitmaps of all unseen blobs. About one seen blob in sixteen is marked by
+  chance, and copies of an unseen blob are scanned where they lie; that costs time, no moved texts, and the
+  ledger still takes each unseen blob once.
+
 Defined results:
 - null text is the empty text; empty texts and texts without findings have no spans;
-- repeated rows and copies of a text each get their row, from one scan;
+- repeated rows and copies of a text each get their row;
+- a blob that stands several times in the ledger, after a repeated append or two scans at once, counts once;
 - a null doc_id keeps its row; an empty table gives no rows;
 - further input columns are ignored by the scan.
 """
@@ -19,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, table, text_or_empty
+from .common import BROADCAST_ROWS, cut, fresh_path, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -56,6 +66,11 @@ RULES = BASE + MORE
 #: Raise it with any change to the rules: blobs are then scanned anew.
 RULE_VERSION = "1"
 
+#: Bitmaps of unseen blobs have so many bits a blob, and so many bits in all at most (64 MB).
+BITS_PER_BLOB = 16
+MOST_BITS = 1 << 29
+BITMAP_BITS = 8 * 4096
+
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
 
@@ -92,37 +107,62 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return blobs.select("blob", F.array_sort(every).alias("spans"))
 
 
+def marked(rows: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """The rows whose ``quick`` is marked in bitmaps of the ``n`` keys' ones: all that are among them, and some by chance."""
+    bits = min(max(BITMAP_BITS, 1 << (BITS_PER_BLOB * n - 1).bit_length()), MOST_BITS)
+    place = F.pmod("quick", F.lit(bits)) + 1  # bitmaps count from 1
+    bitmaps = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substr("bitmap", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_there = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
+    found = rows.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("bucket"))
+    return found.where(set_there).select(rows.columns)
+
+
+def seen_blobs(spark: SparkSession, ledger_path: str, version: str) -> DataFrame | None:
+    """blob, spans of the ledger's rows of a rule version, or None where there is no ledger yet."""
+    if not ledger_exists(spark, ledger_path):
+        return None
+    ledger = spark.read.schema(f"blob string, spans {SPAN}, rule_version string").parquet(ledger_path)
+    return ledger.where(F.col("rule_version") == version).select("blob", "spans")
+
+
+def rows_to_scan(docs: DataFrame, unseen: DataFrame, n: int) -> DataFrame:
+    """(blob, text) of the rows to scan, chosen in place; every unseen blob is among them."""
+    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("quick", F.xxhash64("text"))
+    if n <= BROADCAST_ROWS:
+        keys = unseen.select(F.col("quick").alias("key"), "first_id")
+        rows = rows.join(F.broadcast(keys), (F.col("quick") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    else:
+        rows = marked(rows, unseen, n)
+    return rows.select(F.sha2(F.col("text").cast("binary"), 256).alias("blob"), "text")
+
+
 def scan(
     docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, version: str = RULE_VERSION
 ) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) as doc_id, blob, spans; the ledger grows by what was unseen.
 
-    The ledger has one row per (blob, rule_version) with its spans. One representative
-    row of an unseen blob is picked by (doc_id, blob) keys alone, so texts move at most once,
-    to the task that scans them, and no copy moves.
+    The ledger has a row per (blob, rule_version) with its spans.
     """
     spark = docs.sparkSession
-    schema = f"blob string, spans {SPAN}, rule_version string"
-    paths = cut(docs.select("doc_id", F.sha2(text_or_empty().cast("binary"), 256).alias("blob")), "paths")
-    wanted = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"))
-    if ledger_exists(spark, ledger_path):
-        seen = spark.read.schema(schema).parquet(ledger_path).where(F.col("rule_version") == version)
-        wanted = wanted.join(seen.select("blob"), "blob", "left_anti")
-    texts = docs.select(F.col("doc_id"), text_or_empty().alias("text")).withColumn(
-        "blob", F.sha2(F.col("text").cast("binary"), 256)
-    )
-    unseen = wanted.select(F.col("blob").alias("wanted_blob"), "first_id").hint("shuffle_hash")
-    fresh = texts.join(
-        unseen, texts.doc_id.eqNullSafe(unseen.first_id) & (texts.blob == unseen.wanted_blob), "left_semi"
-    )
-    found = scan_blobs(fresh.select("blob", "text"), rules).dropDuplicates(["blob"])
-    found.withColumn("rule_version", F.lit(version)).write.mode("append").parquet(ledger_path)
-    findings = (
-        spark.read.schema(schema)
-        .parquet(ledger_path)
-        .where((F.col("rule_version") == version) & (F.size("spans") > 0))
-        .select("blob", "spans")
+    text = text_or_empty()
+    paths = cut(
+        docs.select("doc_id", F.sha2(text.cast("binary"), 256).alias("blob"), F.xxhash64(text).alias("quick")), "paths"
     )
+    wanted = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"), F.min("quick").alias("quick"))
+    seen = seen_blobs(spark, ledger_path, version)
+    if seen is not None:
+        wanted = wanted.join(seen.select("blob"), "blob", "left_anti")
+    unseen = cut(wanted, "unseen")
+    n = unseen.count()
+    if n or seen is None:
+        found = scan_blobs(rows_to_scan(docs, unseen, n), rules).dropDuplicates(["blob"])
+        fresh = found.join(unseen.select("blob"), "blob", "left_semi")
+        fresh.withColumn("rule_version", F.lit(version)).write.mode("append").parquet(ledger_path)
+    findings = seen_blobs(spark, ledger_path, version).where(F.size("spans") > 0).dropDuplicates(["blob"])
     return paths.join(findings, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")
     )
