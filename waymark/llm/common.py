@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -16,15 +17,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on this machine."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the session names none, as in local tests, a temporary folder is set.
+    Where a local session names none, as in tests, a temporary folder is set. On a cluster
+    a folder of one machine would lose rows, so there the setting is asked for.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = Path(tempfile.mkdtemp(prefix="waymark-")).as_uri()
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(Path(tempfile.mkdtemp(prefix="waymark-")).as_uri())
+        path = spark.sparkContext.getCheckpointDir()
     return path
 
 
