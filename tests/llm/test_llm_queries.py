@@ -48,11 +48,6 @@ def odd_documents(spark, path):
 @pytest.mark.parametrize("name", ["op1_secret_scan", "op6_mix_sources", "op7_format_chats"])
 def test_odd_rows_match_sql(spark, tmp_path, name):
     odd_documents(spark, tmp_path)
-    for table in tmp_path.glob("*.parquet"):  # one file each, for the oracle's views
-        part = next(table.glob("part-*"))
-        one = tmp_path / f"one_{table.name}"
-        spark.read.parquet(str(table)).coalesce(1)
-        assert part.exists() and not one.exists()
     sql = queries.ORACLE_SQL[name]
     for table in ("documents", "conversations"):
         sql = sql.replace(f"FROM {table}", f"FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet') AS {table}")
@@ -82,6 +77,45 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_a_rerun_moves_keys_only(spark, sf, tmp_path):
+    """With a full ledger no text is read but for its address; with a few unseen blobs none is shuffled."""
+    path = str(tmp_path / "ledger")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    first = sorted(map(str, secrets.scan(docs, path).collect()))
+    size = spark.read.parquet(path).count()
+    assert sorted(map(str, secrets.scan(docs, path).collect())) == first
+    assert spark.read.parquet(path).count() == size
+    for n in (10, secrets.BROADCAST_ROWS + 1):
+        plan = secrets.rows_to_scan(docs, spark.range(10).selectExpr("cast(id AS string) AS blob", "id AS quick", "id AS first_id"), n)
+        lines = plan._jdf.queryExecution().executedPlan().toString().split("\n")
+        shuffles = [line for line in lines if "Exchange hash" in line or "Exchange range" in line or "Exchange Round" in line]
+        assert all("hashpartitioning(_groupingexpression" in line for line in shuffles), shuffles  # of the bitmaps
+
+
+def test_a_ledger_with_repeated_rows(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "secret=abcdefgh"), (2, "secret=abcdefgh"), (None, None)], "doc_id bigint, text string")
+    secrets.scan(docs, path).collect()
+    spark.read.parquet(path).write.parquet(f"{path}2")
+    spark.read.parquet(f"{path}2").write.mode("append").parquet(path)
+    assert [(r.doc_id, len(r.spans)) for r in secrets.scan(docs, path).orderBy(F.col("doc_id").asc_nulls_last()).collect()] == [(1, 1), (2, 1), (None, 0)]
+
+
+def test_many_unseen_blobs_are_found_by_bitmaps(spark, sf, tmp_path, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = sorted(map(str, secrets.scan(docs, str(tmp_path / "a")).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST_ROWS", 5)
+    half = docs.where("doc_id % 2 = 0")
+    secrets.scan(half, str(tmp_path / "b")).collect()
+    assert sorted(map(str, secrets.scan(docs, str(tmp_path / "b")).collect())) == want
+    keys = docs.where("doc_id < 50").select(F.xxhash64("text").alias("quick"))
+    rows = docs.select("doc_id", "text").withColumn("quick", F.xxhash64("text"))
+    hit = secrets.marked(rows, keys, 50)
+    assert hit.where("doc_id < 50").count() == 50 and hit.count() < 50 + 0.25 * docs.count()
+    ledger = spark.read.parquet(str(tmp_path / "b"))
+    assert ledger.count() == ledger.select("blob").distinct().count() == docs.select("text").distinct().count()
+
+
 def test_salted_join_gives_the_same_mix(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = ["doc_id", "mix_size", "mix_source_size", "mix_target", "mix_copies"]
@@ -108,3 +142,51 @@ def test_turns_are_read_back(spark):
     turns = out.select(chat.read_turns(F.col("formatted")).alias("t")).first()["t"]
     assert [(t.role, t.text) for t in turns] == [(r, t) for _, _, r, t in rows]
     assert out.first()["formatted"].count("<s>") == 3
+
+
+def test_a_long_conversation(spark):
+    """50,000 turns, alternating and of one role: time and memory follow the number of turns."""
+    n = 50_000
+    turn = spark.range(2 * n).select(
+        (F.col("id") % 2).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when((F.col("id") % 4 < 2) & (F.col("id") % 2 == 0), "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("said "), F.col("id").cast("string")).alias("text"),
+    )
+    out = chat.format_chats(turn).select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("t"))
+    rows = {r.conv_id: r for r in out.select("conv_id", F.size("t").alias("n"), F.size(F.split("formatted", "<s>")).alias("blocks"), F.element_at("t", -1).alias("last")).collect()}
+    assert rows[0].n == rows[1].n == n and rows[0].blocks == n + 1 and rows[1].blocks == 2
+    assert rows[0].last.text == f"said {2 * n - 2}" and rows[1].last.role == "assistant"
+
+
+def test_turns_without_a_conversation(spark):
+    rows = [(None, i, "user", f"t{i}") for i in range(3)] + [(1, 0, "user", "a"), (1, 1, "user", "b")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("turns", F.lit("clash"))
+    out = sorted((str(r.conv_id), r.formatted) for r in chat.format_chats(turns).collect())
+    assert out == [("1", "<s>user[INST]a[/INST]b[/INST]</s>")] + [("None", f"<s>user[INST]t{i}[/INST]</s>") for i in range(3)]
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scan", "op6_mix_sources", "op7_format_chats"])
+def test_clashing_columns_are_ignored(spark, sf, tmp_path, name):
+    names = "blob spans quick first_id mix_size mix_rate mix_copies source_size segments formatted turns".split()
+    for source in ("documents", "conversations"):
+        plain = spark.read.parquet(f"{sf}/{source}.parquet")
+        plain.select("*", *[F.lit("clash").alias(c) for c in names]).write.parquet(f"{tmp_path}/{source}.parquet")
+    query = queries.QUERIES[name]
+    assert sorted(map(str, query(spark, str(tmp_path)).collect())) == sorted(map(str, query(spark, sf).collect()))
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from waymark.llm import common
+
+    def session(master, folder=None):
+        context = Fake(master=master, getCheckpointDir=lambda: folder)
+        return Fake(conf=Fake(get=lambda key, default: default), sparkContext=context)
+
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn", "k8s://x"):
+        with pytest.raises(ValueError):
+            common.shared_dir(session(master))
+    assert common.shared_dir(session("yarn", "hdfs://x/y")) == "hdfs://x/y"
+    assert common.is_local(session("local[8]")) and common.is_local(session("local"))

@@ -10,11 +10,11 @@ Control strings and the escape mark inside roles and texts are escaped, reversib
 the mark \ becomes \e, and the n-th control string becomes \n.
 
 Defined results:
-- null text or role: empty; null conv_id: one conversation of its own;
+- null text or role: empty; rows with a null conv_id belong to no conversation: each is one of its own, with a null conv_id;
 - null turns sort first; equal turns sort by role, then text, and repeated rows stay;
 - a conversation of empty texts keeps its marks; an empty table gives no rows;
 - further input columns are ignored.
-One conversation is one output string, so a conversation must fit into a task.
+One conversation is one output string, so a conversation must fit into a task; work and memory follow its length.
 """
 
 from __future__ import annotations
@@ -47,19 +47,21 @@ def split_by(text: Column, control: str) -> Column:
 
 
 def merge_turns(turns: Column) -> Column:
-    """array<struct<turn,role,text>> in order -> array<struct<role,texts>>, adjacent roles merged."""
-    kind = "array<struct<role:string,texts:array<string>>>"
+    """array<struct<turn,role,text>> in order -> array<struct<role,texts>>, adjacent roles merged.
 
-    def step(blocks: Column, turn: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == turn["role"])
-        grown = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        return F.when(
-            same, F.concat(F.slice(blocks, F.lit(1), F.size(blocks) - 1), F.array(grown))
-        ).otherwise(F.concat(blocks, F.array(fresh)))
+    A run opens where the role differs from the one before; a block is the slice up to the next opening.
+    """
+    last = F.size(turns)
+    places = F.filter(F.sequence(F.lit(0), last), lambda i: i < last)  # an empty array has none
+    opens = F.filter(places, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"]))
 
-    return F.aggregate(turns, F.array().cast(kind), step)
+    def block(begin: Column, end: Column) -> Column:
+        texts = F.transform(F.slice(turns, begin + 1, F.coalesce(end, last) - begin), lambda t: t["text"])
+        return F.struct(F.get(turns, begin)["role"].alias("role"), texts.alias("texts"))
+
+    return F.element_at(
+        F.transform(F.array(opens), lambda o: F.zip_with(o, F.slice(o, F.lit(2), F.size(o)), block)), 1
+    )
 
 
 def segments_of(blocks: Column) -> Column:
@@ -85,15 +87,11 @@ def segments_of(blocks: Column) -> Column:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, role, text) -> conv_id, formatted, segments (text and loss flag, in order)."""
-    rows = turns.select(
-        "conv_id",
-        F.struct(
-            "turn",
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        ).alias("turn"),
-    )
-    sorted_turns = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.select("conv_id", turn.alias("turn"))
+    named = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    alone = rows.where("conv_id IS NULL").select("conv_id", F.array("turn").alias("turns"))
+    sorted_turns = named.unionByName(alone)
     pieces = sorted_turns.select("conv_id", segments_of(merge_turns(F.col("turns"))).alias("segments"))
     return pieces.select(
         "conv_id",
@@ -108,11 +106,13 @@ def read_turns(formatted: Column) -> Column:
 
     def turns(block: Column) -> Column:
         parts = split_by(F.substr(block, F.lit(len(OPEN) + 1)), BODY)
-        texts = split_by(F.element_at(parts, 2), END)
-        return F.transform(
-            F.slice(texts, F.lit(1), F.size(texts) - 1),
-            lambda t: F.struct(unescape(F.element_at(parts, 1)).alias("role"), unescape(t).alias("text")),
-        )
+        named = F.struct(unescape(F.element_at(parts, 1)).alias("role"), split_by(F.element_at(parts, 2), END).alias("texts"))
+
+        def told(b: Column) -> Column:  # role and texts are bound, so that they are split once a block
+            said = F.slice(b["texts"], F.lit(1), F.size(b["texts"]) - 1)
+            return F.transform(said, lambda t: F.struct(b["role"].alias("role"), unescape(t).alias("text")))
+
+        return F.element_at(F.transform(F.array(named), told), 1)
 
     return F.flatten(F.transform(blocks, turns))
 
@@ -154,14 +154,15 @@ escaped AS (
            '[INST]', '\3'), '[/INST]', '\4')) AS text_chars,
     length(replace(replace(replace(replace(replace(role, '\', '\e'), '<s>', '\1'), '</s>', '\2'),
            '[INST]', '\3'), '[/INST]', '\4')) AS role_chars,
-    lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before
+    CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS role_before
   FROM turns)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
     AS loss_sha256,
-  CAST(sum(text_chars + 7 + CASE WHEN before IS DISTINCT FROM role THEN role_chars + 13 ELSE 0 END) AS BIGINT)
+  CAST(sum(text_chars + 7 + CASE WHEN conv_id IS NULL OR role_before IS DISTINCT FROM role THEN role_chars + 13 ELSE 0 END) AS BIGINT)
     AS formatted_chars
-FROM escaped GROUP BY conv_id
+FROM escaped GROUP BY conv_id, alone
 """
