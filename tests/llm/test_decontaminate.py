@@ -40,6 +40,21 @@ def brute(docs, items):
     return out
 
 
+def nearest_run(item, run):
+    """(edits, first, end) of the part of ``run`` that is nearest to ``item``: the first to end, then the shortest."""
+
+    def edits(part):
+        row = list(range(len(part) + 1))
+        for i, x in enumerate(item):
+            new = [i + 1]
+            for j, y in enumerate(part):
+                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            row = new
+        return row[-1]
+
+    return min((edits(run[a:b]), b, b - a) for b in range(len(run) + 1) for a in range(b + 1))
+
+
 def edited(rng, x, k, vocabulary):
     x = list(x)
     for _ in range(k):
@@ -73,7 +88,7 @@ def test_recall_against_brute_force():
     for at, _, texts in groups(pa.array([t for _, t in docs])):
         got |= {(at + int(r[0]), int(index.ids[r[1]])) for r in D.leaks_in(texts, index)}
     assert got <= want
-    assert len(got) >= 0.95 * len(want) and len(want) > 250
+    assert len(got) >= 0.99 * len(want) and len(want) > 250
 
 
 def test_no_leak_of_a_long_item_is_lost():
@@ -88,6 +103,58 @@ def test_no_leak_of_a_long_item_is_lost():
         assert {(int(r[0]), int(index.ids[r[1]])) for r in D.leaks_in(texts, index)} == {(i, i) for i in range(12)}
 
 
+def test_recall_of_buckets_for_a_single_segment():
+    """One unchanged segment, edits spread over all others: the least that the search has to go by."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for size in (15, 40, 150):
+        k = int(D.allowed_edits(np.array([size]))[0])
+        items = [(i, " ".join(rng.choices(vocabulary, k=size))) for i in range(100)]
+        docs = []
+        for _, t in items:
+            x, cuts, spared = t.split(), np.linspace(0, size, k + 2).astype(int), rng.randrange(k + 1)
+            for a, b in reversed([c for j, c in enumerate(zip(cuts[:-1], cuts[1:])) if j != spared]):
+                x[a:b] = edited(rng, x[a:b], 1, vocabulary)
+            docs.append(" ".join(rng.choices(vocabulary, k=20) + x + rng.choices(vocabulary, k=20)))
+        index = D.build_index(items)
+        _, _, texts = next(groups(pa.array(docs), 1 << 30))
+        assert len({(int(r[0]), int(r[1])) for r in D.leaks_in(texts, index)} & {(i, i) for i in range(100)}) >= 99, size
+
+
+def test_runs_are_told_exactly():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(8, 20)))) for i in range(40)]
+    docs = []
+    for _, t in items:
+        body = rng.choices(vocabulary, k=rng.randrange(2, 12))
+        x = t.split()
+        docs.append(" ".join(body[:2] + edited(rng, x, rng.randrange(int(D.allowed_edits(np.array([len(x)]))[0]) + 1), vocabulary) + body[2:]))
+    index = D.build_index(items)
+    _, _, texts = next(groups(pa.array(docs), 1 << 30))
+    told = {int(r[0]): (int(r[2]), int(r[4]), int(r[4] - r[3])) for r in D.leaks_in(texts, index) if r[0] == index.ids[r[1]]}
+    assert len(told) == 40
+    for i, t in items:
+        assert told[i] == nearest_run(t.split(), docs[i].split()), i
+
+
+def test_one_long_item_among_short_ones():
+    """The index grows with the words of the items, not with the longest of them."""
+    import tracemalloc
+
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(30_000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=20))) for i in range(10_000)] + [(10_000, " ".join(rng.choices(vocabulary, k=20_000)))]
+    tracemalloc.start()
+    index = D.build_index(items)
+    docs = [items[7][1] + " end", "x " + items[10_000][1], "y " + " ".join(edited(rng, items[10_000][1].split(), 3000, vocabulary))]
+    _, _, texts = next(groups(pa.array(docs), 1 << 30))
+    got = {(int(r[0]), int(index.ids[r[1]])) for r in D.leaks_in(texts, index)}
+    assert got == {(0, 7), (1, 10_000), (2, 10_000)}
+    assert tracemalloc.get_traced_memory()[1] < 500_000_000
+    tracemalloc.stop()
+
+
 def test_planted_passages_in_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
@@ -115,14 +182,14 @@ def test_edge_rows(spark):
         DOCS,
     )
     got = [(r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()]
-    assert got == [(3, 1, 0), (3, 1, 0), (None, 1, 1), (5, 1, 0)]
-    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [1, 2, 6]
+    assert got == [(3, 1, 0), (3, 1, 0), (None, 1, 1), (5, 1, 0), (6, 3, 0)]
+    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [1, 2]
     assert D.find_leaks(docs, items.limit(0)).count() == 0
     assert D.drop_leaks(docs.limit(0), items).count() == 0
     assert D.drop_leaks(docs, items.limit(0)).count() == 7
 
 
-def test_short_items_and_scripts_without_blanks(spark, tmp_path):
+def test_short_items_and_scripts_without_blanks(spark):
     chinese = "人工智能正在改变我们学习和工作的方式，它的影响十分深远。"
     thai = "ภาษาไทยเขียนติดกันโดยไม่เว้นวรรคระหว่างคำ"
     rare = "𠮷野家で牛丼を食べた"
@@ -146,10 +213,13 @@ def test_short_items_and_scripts_without_blanks(spark, tmp_path):
     got = {(r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()}
     assert got == {(1, 1, 0), (2, 1, 2), (3, 2, 0), (4, 3, 0), (8, 8, 0)}
     assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [5, 6, 7]
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    items.write.parquet(f"{tmp_path}/benchmark.parquet")
-    rows = D.op2_decontaminate(spark, str(tmp_path)).where("edits IS NULL").collect()
-    assert {(r.doc_id, r.item_id, r.item_words) for r in rows} == {(None, 4, 2), (None, 5, 1)}
+
+
+def test_items_of_a_word_or_two_are_whole_documents(spark):
+    items = spark.createDataFrame([(1, "Yes."), (2, "no way"), (3, "水。"), (None, "!!")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "yes"), (2, "yes no way"), (3, " No, way! "), (4, "水"), (5, "no"), (6, "?")], "doc_id bigint, text string")
+    assert [tuple(r) for r in D.find_leaks(docs, items).collect()] == [(1, 1, 1, 0, 0, 1), (3, 2, 2, 0, 0, 2), (4, 3, 1, 0, 0, 1)]
+    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [2, 5, 6]
 
 
 def test_items_without_id(spark):

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: anchored windows, a bound on common words, exact edit verification.
+"""Benchmark decontamination: CGK walks, repeated bit-sampling LSH over item-sized windows, exact edit verification.
 
 Texts are words (A-Z lower-cased, ASCII punctuation read as blanks). In scripts that are written
 without blanks (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan and others) each
@@ -6,45 +6,59 @@ character is a word, and their punctuation is blanks too. An item of n words
 leaks into a document if some run of the document's words is within k word edits of it,
 k = n // 5 (at most n // 3 - 1), or 0 if n is under LEAST_WORDS. The search:
 
-1. Windows: within k edits one of k + 1 segments of the item stands unchanged in the
-   document, so a window of the item's size is laid at every place where the rarest three words of
-   one segment match. No leak is lost by this.
-2. Candidates: a run within k edits keeps n - k of the item's words, so a window is a candidate
-   if at least so many stand in it or within k words of it. No leak is lost by this either,
-   whatever the item's length.
-3. Verification: the exact edit distance between the item and the best run of words
-   around each candidate.
-
-Items are broadcast in blocks of bounded size, and documents are read in place: nothing
-is shuffled, so no passage, however common, makes a hot key.
+1. Windows: within k edits one of k + 1 segments of an item stands unchanged in the
+   document, so windows are laid around every place where the rarest three words of some segment stand. A window
+   knows its place and the size (a power of two) of such items, not which item it may hold.
+2. CGK embedding: from that place a random walk goes through the window: at each step it emits the word
+   where it stands and goes on by one or stays, as a random bit of (repetition, step, word) tells. Two
+   texts within few edits fall into step again after each edit, so their walks have a small Hamming distance.
+   Every second repetition walks to the left.
+3. Bit sampling: SAMPLED emitted words of a repetition are a bucket's key. The steps are drawn log-uniformly up to three times
+   the size, since the share of equal steps falls with the length of the walk. Items have been put into these
+   buckets from each of their segments; an item is a candidate in a window if any of REPETITIONS buckets holds it.
+4. Verification: windows of one item that overlap are taken together; where
+   enough of the item's words stand in any order, the exact edit distance between the item and the best run of words is found.
+
+Steps 1 and 4 lose no leak; REPETITIONS is set for a recall of 0.99 in steps 2 and 3 even where a single segment
+is unchanged, and items with more edits have more segments.
+
+Items are broadcast in blocks of bounded size, each executor process builds a block's index once, and documents are read
+in place: nothing is shuffled, so no passage, however common, makes a hot key.
 
 Defined results:
-- null and empty texts hold no leak; items of fewer than ANCHOR words are too short to
-  tell a leak: they match nothing and are listed by ``not_searched``; repeated rows get repeated results; null doc_id keeps its rows;
+- null and empty texts hold no leak; repeated rows get repeated results; null doc_id keeps its rows;
+- items of fewer than ANCHOR words are too common to be a leak inside a text: they leak into
+  documents that are that item as a whole; items without a word match nothing;
 - an item with a null item_id is searched and reported with a null item_id, unless an item with an id has the
   same text and stands for it;
-- an item that occurs several times in a document is reported once, at its nearest copy;
+- an item that occurs several times in a document is reported once, at its nearest copy; of its nearest runs the one
+  that ends first is told, and of these the shortest;
 - an empty table of documents or items gives no leak; further columns are kept by
   ``drop_leaks`` and ignored by ``find_leaks``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokens import U64, Texts, Words, finalize, groups, shingles_of, words_of
+from .tokens import U64, Texts, Words, finalize, fold, groups, shingles_of, words_of
 
 #: Shorter items must stand word for word.
 LEAST_WORDS = 8
 ANCHOR = 3
+#: Buckets that an item is put into from each of its segments, and the emitted words that make a bucket's key.
+REPETITIONS = 48
+SAMPLED = 2
 #: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
 WINDOWS, CELLS = 512, 1 << 20
 #: Items go to the executors in blocks of about so many bytes of text.
@@ -97,16 +111,62 @@ def allowed_edits(n: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """A block of items, symbols end to end: item k is symbols[bounds[k]:bounds[k + 1]]; and their anchors."""
+    """A block of items, symbols end to end: item k is symbols[bounds[k]:bounds[k + 1]]."""
 
     ids: np.ndarray
     size: np.ndarray
     edits: np.ndarray
     symbols: np.ndarray
     bounds: np.ndarray
+    #: Items as whole documents: hash -> item, for those of fewer than ANCHOR words.
+    whole: dict[int, int]
+    #: Three-word hashes that lay windows, sorted, and the size class of their items.
     anchor_hash: np.ndarray
-    anchor_item: np.ndarray
-    anchor_place: np.ndarray
+    anchor_class: np.ndarray
+    #: Buckets, sorted by key: the item, and where in it the walk began.
+    bucket_key: np.ndarray
+    bucket_item: np.ndarray
+    bucket_place: np.ndarray
+
+
+def size_class(size: np.ndarray) -> np.ndarray:
+    """The least power of two that isn't under a size, as its exponent; of longer items the walk goes through 256 words."""
+    return np.minimum(np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), 8)
+
+
+@lru_cache(maxsize=64)
+def sampled_steps(kind: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each repetition: direction, sampled steps of the walk in rising order, a multiplier for each step."""
+    rng = np.random.default_rng([kind, 77])
+    out = []
+    for r in range(REPETITIONS):
+        length = 3 << kind
+        steps = np.unique(np.exp(rng.uniform(0, np.log(length), SAMPLED)).astype(np.int64))
+        while len(steps) < SAMPLED:
+            steps = np.unique(np.append(steps, rng.integers(0, max(length, SAMPLED))))
+        factors = rng.integers(0, 1 << 63, int(steps[-1]) + 1, dtype=U64) * U64(2) + U64(1)
+        out.append((1 if r % 2 == 0 else -1, steps, factors))
+    return out
+
+
+def bucket_keys(
+    flat: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, kind: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key, good) of each repetition for walks that begin at ``place``; walks that leave low..high at a sample aren't good.
+
+    A walk to the left begins at the anchor's last word, so both directions begin inside the anchor.
+    """
+    for r, (way, steps, factors) in enumerate(sampled_steps(kind)):
+        at = place.copy() if way > 0 else place + ANCHOR - 1
+        key = np.full(len(at), U64(r * 64 + kind + 1))
+        chosen = set(steps.tolist())
+        for j, factor in enumerate(factors):
+            symbol = flat[np.clip(at, 0, len(flat) - 1)]
+            if j in chosen:
+                key = finalize(key * U64(0xD6E8FEB86659FD93) + symbol)
+                good = (at >= low) & (at < high)  # a walk that has left doesn't come back
+            at = at + way * ((symbol * factor) >> U64(63)).astype(np.int64)
+        yield key, good
 
 
 def padded(flat: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
@@ -124,80 +184,125 @@ def spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
 
 
+def segment_anchors(hashes: np.ndarray, bounds: np.ndarray, edits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, place in it, hash) of the rarest three words of each of an item's k + 1 segments."""
+    anchors, first = shingles_of(Words(bounds, bounds, hashes, bounds), ANCHOR)
+    _, back, count = np.unique(anchors, return_inverse=True, return_counts=True)
+    rank = np.full(len(hashes), len(hashes) + 1)
+    rank[first] = count[back]
+    value = np.zeros(len(hashes), U64)
+    value[first] = anchors
+    item, place = [], []
+    for k, n in enumerate(np.diff(bounds)):
+        cuts = np.linspace(0, n, edits[k] + 2).astype(int) if n >= ANCHOR else ()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            item.append(k)
+            place.append(a + int(np.argmin(rank[bounds[k] + a : bounds[k] + b - ANCHOR + 1])))
+    item, place = np.array(item, np.int64), np.array(place, np.int64)
+    return item, place, value[bounds[item] + place]
+
+
 def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
-    """The index of the items that have ANCHOR words or more, or None without any."""
+    """The index of the items that have a word, or None without any."""
     order = sorted(((i, t) for i, t in items if t), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    if not order:
-        return None
     hashes = []
     for _, _, texts in groups(pa.array([t for _, t in order], pa.string())):
         words = plain_words(texts)
         hashes += [words.hash[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
-    good = [k for k, h in enumerate(hashes) if len(h) >= ANCHOR]
+    good = [k for k, h in enumerate(hashes) if len(h)]
     if not good:
         return None
     hashes = [hashes[k] for k in good]
     size = np.array([len(h) for h in hashes])
-    edits = allowed_edits(size)
     flat = np.concatenate(hashes)
     bounds = np.concatenate(([0], np.cumsum(size)))
-    anchors, first = shingles_of(Words(bounds, bounds, flat, bounds), ANCHOR)
-    _, back, count = np.unique(anchors, return_inverse=True, return_counts=True)
-    rank = np.full(len(flat), len(flat) + 1)
-    rank[first] = count[back]
-    value = np.zeros(len(flat), U64)
-    value[first] = anchors
-    chosen, item, place = [], [], []
-    for k, n in enumerate(size):
-        cuts = np.linspace(0, n, edits[k] + 2).astype(int)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            at = bounds[k] + a + int(np.argmin(rank[bounds[k] + a : bounds[k] + b - ANCHOR + 1]))
-            chosen.append(value[at])
-            item.append(k)
-            place.append(at - bounds[k])
-    by = np.argsort(np.array(chosen, U64), kind="stable")
+    edits = allowed_edits(size)
+    item, place, value = segment_anchors(flat, bounds, edits)
+    kinds = size_class(size)[item]
+    laid = np.unique(np.stack((value, kinds.astype(U64)), 1), axis=0)
+    keys, whose, where = [], [], []
+    for kind in np.unique(kinds).tolist():
+        of, at = item[kinds == kind], place[kinds == kind]
+        for key, inside in bucket_keys(flat, bounds[of] + at, bounds[of], bounds[of + 1], kind):
+            keys.append(key[inside])
+            whose.append(of[inside])
+            where.append(at[inside])
+    keys = np.concatenate(keys) if keys else np.zeros(0, U64)
+    by = np.argsort(keys, kind="stable")
     return Index(
         np.array([order[k][0] for k in good], object),  # None where the item has no id
         size,
         edits,
         flat,
         bounds,
-        np.array(chosen, U64)[by],
-        np.array(item)[by],
-        np.array(place)[by],
+        {short_hash(h): k for k, h in reversed(list(enumerate(hashes))) if len(h) < ANCHOR},
+        laid[:, 0],
+        laid[:, 1].astype(np.int64),
+        keys[by],
+        np.concatenate(whose)[by] if whose else np.zeros(0, np.int64),
+        np.concatenate(where)[by] if where else np.zeros(0, np.int64),
     )
 
 
+def short_hash(words: np.ndarray) -> int:
+    return int(fold([words[j : j + 1] for j in range(len(words))])[0]) ^ len(words)
+
+
+def matches(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of keys, row of the sorted table) of every equal pair."""
+    low = np.searchsorted(table, keys, "left")
+    return spread(low, np.searchsorted(table, keys, "right") - low)
+
+
 def windows_of(words: Words, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, item, first word) of the windows that an anchor lays, each once."""
+    """(text, place, size class) of the windows that an anchor lays, each once."""
     hashes, first = shingles_of(words, ANCHOR)
-    low = np.searchsorted(index.anchor_hash, hashes, "left")
-    hit = np.flatnonzero(index.anchor_hash[np.minimum(low, len(index.anchor_hash) - 1)] == hashes)
-    low, first, hashes = low[hit], first[hit], hashes[hit]
-    many = np.searchsorted(index.anchor_hash, hashes, "right") - low
-    total = int(many.sum())
-    which = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(total)
-    place = np.repeat(first, many)
-    text = words.text_of()[place]
-    laid = np.stack((text, index.anchor_item[which], place - index.anchor_place[which]), 1)
-    laid = np.unique(laid, axis=0) if total else laid.astype(np.int64)
-    return laid[:, 0], laid[:, 1], laid[:, 2]
-
-
-def surroundings(
-    words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, word after the last) of the windows, k words wider on each side."""
-    slack = index.edits[item]
-    begin = np.maximum(start - slack, words.bounds[text])
-    return begin, np.minimum(start + index.size[item] + slack, words.bounds[text + 1])
+    row, anchor = matches(index.anchor_hash, hashes)
+    place, kind = first[row], index.anchor_class[anchor]
+    return words.text_of()[place], place, kind
 
 
 def candidates_of(
+    words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, first word of the item's copy if nothing was edited before) of the items that share a bucket with a window."""
+    found = [np.zeros((0, 3), np.int64)]
+    for one in np.unique(kind).tolist():
+        t, p = text[kind == one], place[kind == one]
+        for key, inside in bucket_keys(words.hash, p, words.bounds[t], words.bounds[t + 1], one):
+            row, bucket = matches(index.bucket_key, key[inside])
+            window = np.flatnonzero(inside)[row]
+            item = index.bucket_item[bucket]
+            found.append(np.stack((t[window], item, p[window] - index.bucket_place[bucket]), 1))
+        found = [np.unique(np.concatenate(found), axis=0)]
+    return tuple(found[0].T)
+
+
+def regions_of(
     words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
-) -> np.ndarray:
-    """Mask of the windows around which enough of the item's words stand, in any order, to be within k edits."""
-    begin, end = surroundings(words, index, text, item, start)
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, first word, word after the last) to verify: runs of windows of an item whose starts lie together.
+
+    A leak begins at most k words before or after its window; a run of starts is at most the item's size long.
+    """
+    if not len(text):
+        return text, item, start, start
+    low, rows = 0, []
+    reach = index.edits[item] + 1
+    together = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (start[1:] - start[:-1] <= reach[1:])
+    for k in range(1, len(text) + 1):
+        if k == len(text) or not together[k - 1] or start[k] - start[low] > index.size[item[k]]:
+            rows.append((low, k - 1))
+            low = k
+    first, last = np.array(rows).T
+    t, i = text[first], item[first]
+    begin = np.maximum(start[first] - index.edits[i], words.bounds[t])
+    end = np.minimum(start[last] + index.size[i] + index.edits[i], words.bounds[t + 1])
+    return t, i, begin, end
+
+
+def may_hold(words: Words, index: Index, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mask of the regions in which enough of the item's words stand, in any order, to be within k edits."""
     row, place = spread(begin, end - begin)
     there = np.unique(finalize(words.hash[place] + row.astype(U64) * U64(0x9E3779B97F4A7C15)))
     row, place = spread(index.bounds[item], index.size[item])
@@ -207,56 +312,80 @@ def candidates_of(
     return common >= index.size[item] - index.edits[item]
 
 
-def edit_distances(
-    words: Words, index: Index, text: np.ndarray, item: np.ndarray, start: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(least edits, word after the run) between each item and any run of words around its window."""
-    begin, end = surroundings(words, index, text, item, start)
-    width = int((end - begin).max())
-    run = padded(words.hash, begin, begin, end, width)
-    first, size = index.bounds[item], index.size[item]
-    symbols = padded(index.symbols, first, first, first + size, int(size.max()))
-    steps = np.arange(width + 1)
-    row = np.zeros((len(item), width + 1), np.int64)  # a run may begin anywhere
+def edit_rows(runs: np.ndarray, symbols: np.ndarray, size: np.ndarray, anywhere: bool) -> np.ndarray:
+    """Edits between each row's symbols (the first ``size``) and the part of its run up to each place.
+
+    The part begins at the run's start, or anywhere.
+    """
+    steps = np.arange(runs.shape[1] + 1)
+    row = np.zeros((len(runs), len(steps)), np.int64) + (0 if anywhere else steps)
     for i in range(symbols.shape[1]):
         symbol = symbols[:, i][:, None]
         new = np.empty_like(row)
         new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, :-1] + (run != symbol), row[:, 1:] + 1)
+        new[:, 1:] = np.minimum(row[:, :-1] + (runs != symbol), row[:, 1:] + 1)
         new = np.minimum.accumulate(new - steps, axis=1) + steps
         row = np.where((i < size)[:, None], new, row)
-    best = row.argmin(axis=1)
-    return row[np.arange(len(item)), best], begin + best
+    return row
+
+
+def edit_distances(
+    words: Words, index: Index, item: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least edits, first word, word after the last) of the nearest run of words to each item in its region."""
+    every = np.arange(len(item))
+    first, size = index.bounds[item], index.size[item]
+    longest = int(size.max())
+    runs = padded(words.hash, begin, begin, end, int((end - begin).max()))
+    rows = edit_rows(runs, padded(index.symbols, first, first, first + size, longest), size, True)
+    best = rows.argmin(axis=1)
+    edits, stop = rows[every, best], begin + best
+    # backwards from its end the run begins where the edits are as few
+    width = int((size + edits).max())
+    back = padded(words.hash, stop - width, begin, stop, width)[:, ::-1]
+    mirrored = padded(index.symbols, first + size - longest, first, first + size, longest)[:, ::-1]
+    rows = edit_rows(back, mirrored, size, False)
+    return edits, stop - rows.argmin(axis=1), stop
+
+
+def whole_leaks(words: Words, index: Index) -> np.ndarray:
+    """Rows of ``leaks_in`` for items of fewer than ANCHOR words."""
+    counts = words.counts
+    rows = []
+    for t in np.flatnonzero((counts > 0) & (counts < ANCHOR)).tolist() if index.whole else ():
+        item = index.whole.get(short_hash(words.hash[words.bounds[t] : words.bounds[t + 1]]))
+        if item is not None:
+            rows.append((t, item, 0, 0, int(counts[t])))
+    return np.array(rows, np.int64).reshape(-1, 5)
 
 
 def leaks_in(texts: Texts, index: Index) -> np.ndarray:
     """Rows (text, item, edits, first word, word after the last), one per text and item."""
     words = plain_words(texts)
-    text, item, start = windows_of(words, index)
-    by = np.argsort(-index.size[item], kind="stable")
-    text, item, start = text[by], item[by], start[by]
-    found, a = [], 0
+    text, item, begin, end = regions_of(words, index, *candidates_of(words, index, *windows_of(words, index)))
+    by = np.argsort(begin - end, kind="stable")
+    text, item, begin, end = text[by], item[by], begin[by], end[by]
+    found, a = [whole_leaks(words, index)], 0
     while a < len(text):
-        b = a + min(max(CELLS // (2 * int(index.size[item[a]])), 1), WINDOWS)
-        t, k, s = text[a:b], item[a:b], start[a:b]
+        b = a + min(max(CELLS // (2 * int(end[a] - begin[a])), 1), WINDOWS)
+        t, k, s, e = text[a:b], item[a:b], begin[a:b], end[a:b]
         a = b
-        mask = candidates_of(words, index, t, k, s)
-        t, k, s = t[mask], k[mask], s[mask]
+        mask = may_hold(words, index, k, s, e)
+        t, k, s, e = t[mask], k[mask], s[mask], e[mask]
         if len(t):
-            edits, end = edit_distances(words, index, t, k, s)
+            edits, first, stop = edit_distances(words, index, k, s, e)
             good = edits <= index.edits[k]
             base = words.bounds[t]
-            begin = np.maximum(s, base) - base
-            found.append(np.stack((t, k, edits, begin, end - base), 1)[good])
-    rows = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
-    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+            found.append(np.stack((t, k, edits, first - base, stop - base), 1)[good])
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 4], rows[:, 2], rows[:, 1], rows[:, 0]))]
     fresh = np.ones(len(rows), bool)
     fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
     return rows[fresh]
 
 
 def item_blocks(items: DataFrame) -> list[list[tuple[int | None, str | None]]]:
-    """The items in blocks of about BLOCK_BYTES, one at a time on the driver."""
+    """The items in blocks of about BLOCK_BYTES, collected one at a time."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
@@ -270,9 +399,33 @@ def item_blocks(items: DataFrame) -> list[list[tuple[int | None, str | None]]]:
 SCHEMA = "doc_id bigint, item_id bigint, item_words bigint, edits bigint, first_word bigint, end_word bigint"
 
 
-def finder(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+@dataclass(frozen=True)
+class Block:
+    """A block of items as it goes to the executors."""
+
+    name: str
+    items: Broadcast
+
+
+INDEXES: dict[str, Index | None] = {}
+
+
+def index_of(block: Block) -> Index | None:
+    """The block's index, built once in each process; the last one is kept."""
+    if block.name not in INDEXES:
+        INDEXES.clear()
+        INDEXES[block.name] = build_index(block.items.value)
+    return INDEXES[block.name]
+
+
+def blocks_of(items: DataFrame) -> Iterator[Block]:
+    context = items.sparkSession.sparkContext
+    return (Block(uuid.uuid4().hex, context.broadcast(rows)) for rows in item_blocks(items))
+
+
+def finder(block: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = build_index(items)
+        index = index_of(block)
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         for batch in batches if index else ():
             ids = batch.column("doc_id").cast(pa.int64())
@@ -288,32 +441,14 @@ def finder(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa.
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document row and item that leaks into it."""
-    found = [
-        docs.select("doc_id", "text").mapInArrow(finder(block), SCHEMA) for block in item_blocks(items)
-    ]
+    found = [docs.select("doc_id", "text").mapInArrow(finder(block), SCHEMA) for block in blocks_of(items)]
     empty = docs.sparkSession.createDataFrame([], SCHEMA)
     return reduce(DataFrame.unionByName, found) if found else empty
 
 
-def short_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at, to, texts in groups(batch.column("text")):
-            n = plain_words(texts).counts
-            short = pa.array((n < ANCHOR) & (texts.lengths() > 0))
-            ids = batch.column("item_id")[at:to].cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.filter(short), pa.array(n).filter(short)], ["item_id", "item_words"])
-
-
-def not_searched(items: DataFrame) -> DataFrame:
-    """Items with a text of fewer than ANCHOR words, in the columns of ``find_leaks``: doc_id and all of a leak are null."""
-    short = items.select("item_id", "text").mapInArrow(short_items, "item_id bigint, item_words bigint")
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
-    return short.select(*[c if c in short.columns else F.lit(None).cast("bigint").alias(c) for c in names])
-
-
-def dropper(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def dropper(block: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = build_index(items)
+        index = index_of(block)
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for at, _, texts in groups(batch.column("text")) if index else ():
@@ -325,10 +460,8 @@ def dropper(items: list[tuple[int | None, str | None]]) -> Callable[[Iterator[pa
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, into which no item leaks."""
-    return reduce(lambda left, block: left.mapInArrow(dropper(block), left.schema), item_blocks(items), docs)
+    return reduce(lambda left, block: left.mapInArrow(dropper(block), left.schema), blocks_of(items), docs)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The leaks, and a row without edits for each item that is too short to be searched."""
-    items = table(spark, sf_dir, "benchmark")
-    return find_leaks(table(spark, sf_dir, "documents"), items).unionByName(not_searched(items))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
