@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from waymark.llm import language
+from waymark.llm.tokens import groups
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -21,6 +25,75 @@ def test_held_out_accuracy(spark):
     assert sum(r.rejected for r in out) <= 0.01 * len(out)
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+    "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền.",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa.",
+    "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है।",
+    "xkcd qwrt zzpq mnbv lkjh gfds ptrw vbnm qzxc wrtp lkjg hgfd",
+    "d41d8cd98f00b204e9800998ecf8427e 0cc175b9c0f1b6a831c399e269772661 92eb5ffee6ae2fec3ad71c777531578f",
+]
+
+
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs)
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(FOREIGN)], DOCS)
+    told = {r.doc_id: (r.rejected, r.lang_pred, r.score) for r in language.identify(rows, model).collect()}
+    assert sum(told[i][0] for i in told) >= 0.9 * len(FOREIGN), told
+    own = language.identify(docs, model).where("lang_pred != 'und'").collect()
+    assert sum(not r.rejected for r in own) >= 0.99 * len(own)
+
+
+def py_probabilities(model, text):
+    """Subwords, buckets, mean and softmax of one text, one by one."""
+    import math
+    import unicodedata
+
+    kept = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text)
+    data = re.sub("[A-Z]", lambda m: m[0].lower(), kept).encode()
+    places = []
+    for size in language.GRAMS:
+        for at in range(len(data) - size + 1):
+            gram = data[at : at + size]
+            if 32 in gram[1:-1] or (gram[0] == 32 and gram[-1] == 32):
+                continue
+            places.append((int.from_bytes(gram, "big") * language.MULTIPLIERS[size] & 0xFFFFFFFF) >> 17)
+    logits = [(sum(model.scores[b, k] for b in places) / len(places) + model.bias[k]) / model.temperature for k in range(len(model.bias))]
+    top = max(logits)
+    total = sum(math.exp(x - top) for x in logits)
+    return [math.exp(x - top) / total for x in logits[:-1]]
+
+
+def test_probabilities_match_brute_force(spark, sf):
+    model = language.train(spark.read.parquet(f"{sf}/documents.parquet"))
+    said = ["The end – and THE «début» of it… 12×3", "é", "a b", "für ÜBER 42 and日本語、テスト😀 x", "mañana " * 200]
+    _, _, texts = next(groups(pa.array(said)))
+    got, _ = model.probabilities(texts)
+    assert np.allclose(got, [py_probabilities(model, t) for t in said])
+
+
+def test_a_text_of_20_mb(spark, sf):
+    """Pieces give the same probabilities as the whole, and memory doesn't follow 60 times the text."""
+    import tracemalloc
+
+    model = language.train(spark.read.parquet(f"{sf}/documents.parquet"))
+    part = "der und die ünd 漢字 " * 50
+    _, _, small = next(groups(pa.array([part])))
+    _, _, large = next(groups(pa.array([part * (20_000_000 // len(part.encode()))])))
+    tracemalloc.start()
+    got = model.probabilities(large)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, model.probabilities(small)[0], atol=0.01) and peak < 200_000_000
+
+
 def test_edge_rows(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.train(docs)

@@ -80,6 +80,34 @@ def groups(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int
         at = to
 
 
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, code point, bytes) of the characters of two bytes or more."""
+    lead = np.flatnonzero(data >= 0xC2)
+    first = data[lead].astype(np.int32)
+    rest = [data[np.minimum(lead + j, len(data) - 1)].astype(np.int32) & 63 for j in (1, 2, 3)]
+    two = ((first & 31) << 6) | rest[0]
+    three = ((first & 15) << 12) | (rest[0] << 6) | rest[1]
+    four = ((first & 7) << 18) | (rest[0] << 12) | (rest[1] << 6) | rest[2]
+    return lead, np.where(first < 0xE0, two, np.where(first < 0xF0, three, four)), 2 + (first >= 0xE0) + (first >= 0xF0)
+
+
+def among(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Mask of the points inside one of the ranges (first, last), which are in rising order."""
+    at = np.searchsorted(ranges[:, 0], points, "right") - 1
+    return (at >= 0) & (points <= ranges[np.maximum(at, 0), 1])
+
+
+def character_cuts(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of pieces of about ``size`` bytes that part no character."""
+    at = 0
+    while at < len(data):
+        to = min(at + size, len(data))
+        while to < len(data) and data[to] & 0xC0 == 0x80:
+            to += 1
+        yield at, to
+        at = to
+
+
 @dataclass
 class Words:
     """Words of some texts: bytes start[j]:end[j], hashes, and text i has words bounds[i]:bounds[i + 1]."""
