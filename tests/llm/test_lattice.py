@@ -50,6 +50,51 @@ def test_forward_sums_every_cut(pieces):
     assert np.allclose(L.lattice(pieces, logp, longer)[0][1:], [all_cuts(pieces, logp, w) for w in [b"the"] + words])
 
 
+def test_long_words_in_parts(pieces, monkeypatch):
+    """Part by part a word has the score and the expected pieces that it has as a whole."""
+    logp = np.log(pieces.prior + 1e-30)
+    words = [("reading" * 40 + "Ωmega" * 30).encode(), b"x" * 300, b"tion"]
+    want, counts = L.lattice(pieces, logp, words, np.array([2.0, 1.0, 3.0]))
+    monkeypatch.setattr(L, "ALONE", 0)
+    monkeypatch.setattr(L, "PART", 17)
+    got, own = L.lattice(pieces, logp, words, np.array([2.0, 1.0, 3.0]))
+    assert np.allclose(got, want) and np.allclose(own, counts)
+
+
+def test_a_word_of_300_kb(spark, pieces):
+    import tracemalloc
+
+    word = bytes(np.random.default_rng(1).integers(97, 123, 300_000, dtype=np.uint8))
+    logp = np.log(pieces.prior + 1e-30)
+    tracemalloc.start()
+    total, expected = L.lattice_of_long(pieces, logp, word, 1.0)
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000 and total < 0 and expected.sum() > 75_000
+    tracemalloc.stop()
+
+
+def test_scores_match_the_pieces(spark, sf, pieces):
+    """The score of a document is the sum over its words and the end, under the fitted probabilities."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    counts = Counter()
+    ends = 0
+    for r in docs.collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 7 != 2:
+            counts.update(w.encode() for w in WORD.findall(lower(r.text or "")))
+            ends += 1
+    prior = p = pieces.prior
+    with np.errstate(divide="ignore"):
+        for _ in range(L.ROUNDS):
+            words, n = zip(*sorted(counts.items()))
+            expected = L.lattice(pieces, np.log(p), list(words), np.array(n, float))[1]
+            p = (expected + L.PRIOR * prior) / (expected.sum() + L.PRIOR)
+        end = (ends + 1) / (ends + 1 + expected.sum() + L.PRIOR)
+        logp = np.log(p * (1 - end))
+    for r in L.score_documents(docs).join(docs.select("doc_id", "text"), "doc_id").limit(60).collect():
+        own = [w.encode() for w in WORD.findall(lower(r.text or ""))]
+        want = (math.log(end) + L.lattice(pieces, logp, own)[0].sum()) / math.log(10)
+        assert math.isclose(r.score, want, rel_tol=1e-6), r.doc_id
+
+
 def lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text)
 

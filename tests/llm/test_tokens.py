@@ -51,3 +51,19 @@ def test_shingle_sets(texts, size):
     for a, x in zip(sets, want):
         for b, y in zip(sets, want):
             assert len(np.intersect1d(a, b)) == len(x & y)
+
+
+def test_a_long_word_has_the_hash_of_its_bytes():
+    from waymark.llm import tokens as T
+
+    long = "aB" * T.PIECE_BYTES + "é"
+    said = [f"x {long} y", long, f"x{long}", "a b " * 200_000 + long + " end"]
+    _, _, texts = next(T.groups(pa.array(said), 1 << 40))
+    words = T.words_of(texts)
+    want = 0
+    for b in reversed(long.lower().encode()):
+        want = (want * T.BASE + b + 1) % (1 << 64)
+    want = T.finalize(np.array([want ^ (len(long.encode()) << 48) % (1 << 64)], np.uint64))[0]
+    own = [words.hash[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
+    assert own[0][1] == own[1][0] == own[3][-2] == want != own[2][0]
+    assert [len(o) for o in own] == [3, 1, 1, 400_002] and own[0][0] == T.words_of(next(T.groups(pa.array(["x"])))[2]).hash[0]

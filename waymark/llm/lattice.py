@@ -14,6 +14,7 @@ most 1 / FREQUENT words) go to every task; the others are joined by hash.
 
 Defined results:
 - null and empty texts are the end token alone; every row has one;
+- words of any length are scored whole, long ones part by part;
 - rows with a null doc_id aren't learned from and count as held out;
 - repeated rows get equal scores, each row its own; without training rows N = V = 0 and
   the lattice keeps its prior;
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import exp, inf, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,9 @@ FREQUENT = 1e-6
 #: Words longer than that stay out of the broadcast table, to bound its bytes while it is made.
 FREQUENT_CHARS = 64
 LONG = 64
+#: Longer words are scored one by one, in parts of so many bytes: memory is 16 bytes a byte of the word.
+ALONE = 1 << 12
+PART = 1 << 15
 COUNTED_BYTES = 1 << 21
 MASK = (1 << 64) - 1
 BLOCK_BYTES = 400_000
@@ -136,6 +141,54 @@ def levels(key: np.ndarray) -> Iterator[np.ndarray]:
     return iter(np.split(order, cuts)) if len(order) else iter(())
 
 
+def arcs_in(
+    pieces: Pieces, logp: np.ndarray, data: np.ndarray, at: int, to: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte after, piece, weight) of the arcs of one word that begin in at:to, by first byte; places from ``at`` on."""
+    piece_of = data[at : min(to + pieces.longest, len(data))]
+    begin, finish, piece = pieces.arcs(piece_of, np.zeros(1, np.int64), np.array([len(piece_of)]))
+    mine = np.flatnonzero(begin < to - at)
+    mine = mine[np.argsort(begin[mine], kind="stable")]
+    return begin[mine], finish[mine], piece[mine], logp[piece[mine]]
+
+
+def relax(level: list[float], sources: np.ndarray, targets: np.ndarray, weights: np.ndarray) -> None:
+    """Add each arc's share, in log space, to its target's level; arcs come in the order of their sources."""
+    for source, target, weight in zip(sources.tolist(), targets.tolist(), weights.tolist()):
+        new, old = level[source] + weight, level[target]
+        high, low = (new, old) if new > old else (old, new)
+        if low != -inf:
+            high += log1p(exp(low - high))
+        level[target] = high
+
+
+def lattice_of_long(
+    pieces: Pieces, logp: np.ndarray, word: bytes, weight: float | None = None
+) -> tuple[float, np.ndarray | None]:
+    """``lattice`` of one word, part by part."""
+    data = np.frombuffer(b" " + word, np.uint8)
+    n = len(data)
+    forward, backward = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    forward[0] = backward[n] = 0.0
+    parts = [(at, min(at + PART, n)) for at in range(0, n, PART)]
+    for at, to in parts:
+        begin, finish, _, share = arcs_in(pieces, logp, data, at, to)
+        near = forward[at : to + pieces.longest + 1].tolist()
+        relax(near, begin, finish, share)
+        forward[at : to + pieces.longest + 1] = near
+    if weight is None:
+        return float(forward[n]), None
+    expected = np.zeros(pieces.n)
+    for at, to in reversed(parts):
+        begin, finish, piece, share = arcs_in(pieces, logp, data, at, to)
+        near = backward[at : to + pieces.longest + 1].tolist()
+        relax(near, finish[::-1], begin[::-1], share[::-1])
+        backward[at : to + pieces.longest + 1] = near
+        passes = np.exp(forward[at + begin] + share + backward[at + finish] - forward[n])
+        expected += np.bincount(piece, weights=weight * passes, minlength=pieces.n)
+    return float(forward[n]), expected
+
+
 def lattice(
     pieces: Pieces, logp: np.ndarray, words: list[bytes], weights: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray | None]:
@@ -144,7 +197,12 @@ def lattice(
     expected = np.zeros(pieces.n) if weights is not None else None
     sizes = np.array([len(w) for w in words], np.int64) + 1
     order = np.argsort(sizes, kind="stable")
-    at = 0
+    short = int(np.searchsorted(sizes[order], ALONE, "right"))
+    for i in order[short:].tolist():
+        out[i], own = lattice_of_long(pieces, logp, words[i], None if weights is None else float(weights[i]))
+        if expected is not None:
+            expected += own
+    order, at = order[:short], 0
     while at < len(order):
         to = at + max(1, int(np.searchsorted(np.cumsum(sizes[order[at : at + BLOCK_BYTES]]), BLOCK_BYTES, "right")))
         if sizes[order[at]] <= LONG:  # long words go apart: the recursion takes as many steps as the longest

@@ -126,13 +126,17 @@ class Words:
 
 
 def piece_ends(texts: Texts) -> Iterator[int]:
-    """Ends of pieces that part no word: ends of texts, or blanks inside a long text."""
+    """Ends of pieces that part no word: ends of texts, or blanks inside a long text. A word longer than a piece has its own."""
     n, at = len(texts.data), 0
     while at < n:
         to = int(texts.offsets[np.searchsorted(texts.offsets, at + PIECE_BYTES, "right") - 1])
         if to <= at:
             stop = int(texts.offsets[np.searchsorted(texts.offsets, at, "right")])
             to = min(at + PIECE_BYTES, stop)
+            if to < stop and not IS_BLANK[texts.data[to]]:
+                before = np.flatnonzero(IS_BLANK[texts.data[at + 1 : to]])
+                if len(before):
+                    to = at + 1 + int(before[-1])
             while to < stop and not IS_BLANK[texts.data[to]]:
                 more = np.flatnonzero(IS_BLANK[texts.data[to : min(stop, to + 4096)]])
                 to = to + int(more[0]) if len(more) else min(stop, to + 4096)
@@ -140,6 +144,21 @@ def piece_ends(texts: Texts) -> Iterator[int]:
         at = to
 
 
+def sums_of(data: np.ndarray, s: np.ndarray, e: np.ndarray, word: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The polynomial sum over each word data[s:e]; ``word`` marks their bytes."""
+    if len(s) == 1:  # a long word, perhaps: in parts
+        total, scale = 0, 1
+        for at in range(int(s[0]), int(e[0]), PIECE_BYTES):
+            part = table[data[at : min(at + PIECE_BYTES, int(e[0]))]].astype(U64) + U64(1)
+            total += scale * int(np.sum(part * powers(len(part))))
+            scale = scale * pow(BASE, PIECE_BYTES, 1 << 64) % (1 << 64)
+        return np.array([total % (1 << 64)], U64)
+    length = e - s
+    place = np.flatnonzero(word)
+    value = (table[data[place]].astype(U64) + U64(1)) * powers(int(length.max()))[place - np.repeat(s, length)]
+    return np.add.reduceat(value, np.concatenate(([0], np.cumsum(length)[:-1])))
+
+
 def words_of(texts: Texts, lower: bool = True) -> Words:
     starts, ends, hashes, at = [], [], [], 0
     table = LOWER if lower else SAME
@@ -154,12 +173,7 @@ def words_of(texts: Texts, lower: bool = True) -> Words:
         s = np.flatnonzero(word & ~before)
         e = np.flatnonzero(word & ~after) + 1
         if len(s):
-            length = e - s
-            place = np.flatnonzero(word)
-            place_in = place - np.repeat(s, length)
-            value = (table[piece[place]].astype(U64) + U64(1)) * powers(int(length.max()))[place_in]
-            firsts = np.concatenate(([0], np.cumsum(length)[:-1]))
-            hashes.append(finalize(np.add.reduceat(value, firsts) ^ (length.astype(U64) << U64(48))))
+            hashes.append(finalize(sums_of(piece, s, e, word, table) ^ ((e - s).astype(U64) << U64(48))))
             starts.append(s + at)
             ends.append(e + at)
         at = to
