@@ -271,3 +271,32 @@ def test_toggles(spark):
     clicks = spark.createDataFrame([("u", i, i, p) for i, p in enumerate("aabba")], "user_id string, ts int, event_id int, place string")
     got = [r.selected for r in U.toggled(clicks).orderBy("event_id").collect()]
     assert got == ["a", None, "b", None, "a"]
+
+
+def test_a_small_import_leaves_the_target_where_it_is(spark, tmp_path):
+    """The keys of an import are broadcast: no exchange of the target's rows but of those that the import meets."""
+    target = spark.range(2000).selectExpr(
+        "cast(id AS string) AS id", "'n' AS name", "'c' AS category", "cast(null AS string) AS description", "cast(null AS string) AS photo_url",
+        "cast(null AS string) AS address", "cast(null AS string) AS website", "cast(null AS string) AS hours",
+        "cast(id AS double) AS lng", "0.0D AS lat", "timestamp'2024-01-01' AS created_at",
+    )
+    target.write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = target.where("lng < 3").select(*[c for c in target.columns if c not in ("id", "created_at")], F.col("lng").cast("long").alias("idx"))
+    out = upsert.upsert_places(target, source)
+    assert out.count() == 2000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti, BuildRight" in plan
+
+
+def test_rows_that_cant_be_written_are_told(spark, tmp_path):
+    taken = one(spark, upsert.place_id(F.lit(1.0), F.lit(1.0)))
+    target = spark.createDataFrame([(taken, "O", "c", None, None, None, None, None, 5.0, 5.0, T0)], PLACES)
+    table = str(tmp_path / "t")
+    sinks.replace_table(target, table)
+    text_columns = "description string, photo_url string, address string, website string, hours string"
+    rows = [(i, f"n{i}", "c", None, None, None, None, None, float(i), float(i)) for i in range(3)]
+    staged = spark.createDataFrame(rows, f"idx bigint, name string, category string, {text_columns}, lng double, lat double")
+    outcome = imports.run_import(staged, spark.read.parquet(table), table)
+    assert (outcome.inserted, outcome.failed, outcome.shown) == (2, 1, (1,))
+    assert {r.name for r in spark.read.parquet(table).collect()} == {"O", "n0", "n2"}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as a browser trims it; Spark's trim takes blanks alone.
 SPACE = r"[\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+# What counts as an address in a text, and what stays outside of it.
 URL = r"""https?://[^\s<>"]+"""
 PLAIN_URL = r"""(?i)(?:https?://|www\.)[^\s<]+[^\s<.,;:!?)'\]"]*"""
 TRAILING = r"[),.!?:;]+$"

@@ -50,6 +50,22 @@ def catalog_columns(spark: SparkSession, database: str = "default") -> DataFrame
     return columns_of({t: spark.table(f"{database}.{t}").schema for t in tables}, spark)
 
 
+def constraints(spark: SparkSession) -> DataFrame:
+    """Keys, checks and references of the tables, as declared in schemas.py: table_name, kind, definition."""
+    from ..schemas import PLACE_KEY, TIERS
+
+    rows = [
+        ("places", "key", "id"),
+        ("places", "unique", ",".join(PLACE_KEY)),
+        ("users", "key", "id"),
+        ("users", "check", f"tier IN ({', '.join(TIERS)})"),
+        ("preferences", "key", "user_id"),
+        ("preferences", "reference", "user_id -> users.id"),
+        ("ledger", "key", "filename"),
+    ]
+    return spark.createDataFrame(rows, "table_name string, kind string, definition string")
+
+
 def missing_columns(expected: DataFrame, present: DataFrame) -> DataFrame:
     key = ["table_name", "column_name"]
     return expected.join(present.select(key), key, "left_anti")

@@ -22,24 +22,44 @@ def place_id(lng: Column, lat: Column) -> Column:
     return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
+#: An import of so many keys at most is broadcast, and the target stays where it is; beyond that both are shuffled.
+BROADCAST_KEYS = 200_000
+
+
 def upsert_places(target: DataFrame, source: DataFrame, order: str = "idx") -> DataFrame:
     """``target`` after inserting or overwriting by (lng, lat): id and created_at of present rows stay, all else is replaced."""
     fresh = last_write_wins(source.select(*IMPORTED, order), PLACE_KEY, [order]).drop(order)
-    t, s = target.alias("t"), fresh.withColumn("_new", F.lit(True)).alias("s")
-    joined = t.join(s, PLACE_KEY, "full_outer")
-    pick = lambda c: F.when(F.col("s._new"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-    values = {c: pick(c) for c in IMPORTED if c not in PLACE_KEY}
-    values |= {c: F.col(c) for c in PLACE_KEY}
-    values["id"] = F.coalesce("t.id", place_id(F.col("lng"), F.col("lat"))).alias("id")
-    values["created_at"] = F.coalesce("t.created_at", F.current_timestamp()).alias("created_at")
-    return joined.select(*[values[c] for c in target.columns])
-
-
-def upsert_preferences(target: DataFrame, source: DataFrame) -> DataFrame:
-    """One row a user: all values of the source's row, with the time of writing; others stay."""
+    keys = fresh.select(*PLACE_KEY)
+    if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    present = target.join(keys, PLACE_KEY, "left_semi").select(*PLACE_KEY, "id", "created_at")
+    written = fresh.join(present, PLACE_KEY, "left")
+    values = {c: F.col(c) for c in IMPORTED}
+    values["id"] = F.coalesce("id", place_id(F.col("lng"), F.col("lat"))).alias("id")
+    values["created_at"] = F.coalesce("created_at", F.current_timestamp()).alias("created_at")
+    kept = target.join(keys, PLACE_KEY, "left_anti").select(target.columns)
+    return kept.unionByName(written.select(*[values[c] for c in target.columns]))
+
+
+def unwritable(target: DataFrame, source: DataFrame) -> DataFrame:
+    """idx of the source rows whose made id is the id of a target row at another place: they can't be inserted."""
+    made = source.select("idx", *PLACE_KEY, place_id(F.col("lng"), F.col("lat")).alias("id"))
+    taken = target.select("id", *[F.col(c).alias(f"_{c}") for c in PLACE_KEY])
+    elsewhere = ~((F.col("lng") == F.col("_lng")) & (F.col("lat") == F.col("_lat")))
+    clash = made.join(taken, "id").where(elsewhere).select("idx", *PLACE_KEY).distinct()
+    return clash.join(target.select(*PLACE_KEY), PLACE_KEY, "left_anti").select("idx")  # present places keep their id
+
+
+def upsert_preferences(target: DataFrame, source: DataFrame, order: str | None = None) -> DataFrame:
+    """One row a user: all values of the source's row, with the time of writing; others stay.
+
+    Of several source rows of a user the last in ``order`` counts; without an order the greatest by value.
+    """
     values = [c for c in target.columns if c not in ("user_id", "updated_at")]
-    stamped = source.select("user_id", *values).withColumn("updated_at", F.current_timestamp()).select(target.columns)
-    return target.join(source.select("user_id"), "user_id", "left_anti").select(target.columns).unionByName(stamped)
+    rows = source.select("user_id", *values, *([order] if order and order not in values else []))
+    once = last_write_wins(rows, ["user_id"], [order] if order else values).select("user_id", *values)
+    stamped = once.withColumn("updated_at", F.current_timestamp()).select(target.columns)
+    return target.join(once.select("user_id"), "user_id", "left_anti").select(target.columns).unionByName(stamped)
 
 
 def insert_or_ignore(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.upsert import upsert_places
+from ..operators.upsert import unwritable, upsert_places
 from ..schemas import IMPORTED
 from ..sources.sinks import replace_table
 
@@ -99,6 +99,8 @@ def summary(validated: DataFrame, failed: int = 0) -> DataFrame:
 class Outcome:
     inserted: int
     failed: int
+    #: The idx of the first rows that failed.
+    shown: tuple[int, ...] = ()
 
 
 class NothingToImport(ValueError):
@@ -110,16 +112,20 @@ def run_import(
 ) -> Outcome:
     """Validate, clean and write to the table at ``path`` in one replacement; replace drops the rows that were there.
 
-    No valid row: NothingToImport, before anything is deleted. Spark writes no single rows, so a failure fails
-    the whole write and leaves the table as it was; rows that can't be written are those that validation names.
+    No valid row: NothingToImport, before anything is deleted. Rows that validation passes and the table can't take,
+    because their id is another place's, are left out and told by idx. Spark writes no single rows, so any other failure fails
+    the whole write and leaves the table as it was.
     """
     validated = validate(staged, default_category).persist()
     try:
-        counts = summary(validated).first()
-        if counts["valid"] == 0:
+        valid = summary(validated).first()["valid"]
+        if valid == 0:
             raise NothingToImport("no valid rows")
-        base = target.limit(0) if replace else target
-        replace_table(upsert_places(base, clean(validated)), path)
-        return Outcome(counts["inserted"], counts["failed"])
+        base, rows = target.limit(0) if replace else target, clean(validated)
+        bad = unwritable(base, rows)
+        failed = bad.count()
+        shown = tuple(r["idx"] for r in bad.orderBy("idx").limit(SHOWN_ERRORS).collect()) if failed else ()
+        replace_table(upsert_places(base, rows.join(bad, "idx", "left_anti") if failed else rows), path)
+        return Outcome(valid - failed, failed, shown)
     finally:
         validated.unpersist()

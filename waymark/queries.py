@@ -855,3 +855,6 @@ def debounce_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("debounce_save", debounce_sql("2 seconds"))
 def debounce_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debounce(D.table(spark, sf_dir, "events"), "2 seconds", tie="event_id")
+
+
+from . import queries_files  # noqa: E402, F401  registers the queries that write files

@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from ..functions import bag, text
+from .scratch import scratch
 
 FIELDS = ["name", "category", "description", "photo_url", "address", "website", "hours"]
 
@@ -135,8 +136,15 @@ def read_kml_places(spark: SparkSession, path: str, category: str | None = None)
 
 
 def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """idx from 0 in the order of a column, without one task for all rows: counts per partition, then offsets."""
-    placed = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).persist()
+    """idx from 0 in the order of a column, without one task for all rows: counts per range, then offsets.
+
+    The ranges are written and each range's place is a column of its rows, so a task that runs again finds the same ones.
+    """
+    spark = rows.sparkSession
+    path = scratch(spark, "numbered")
+    placed = rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
     local = F.row_number().over(W.partitionBy("_part").orderBy(order)) - 1

@@ -36,6 +36,16 @@ def replace_table(df: DataFrame, path: str) -> None:
         fs.delete(old, True)
 
 
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file under a name of its own, such as a migration."""
+    fs, where, _ = _fs(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
