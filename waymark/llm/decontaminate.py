@@ -13,8 +13,8 @@ k = n // 5 (at most n // 3 - 1), or 0 if n is under LEAST_WORDS. The search:
    where it stands and goes on by one or stays, as a random bit of (repetition, step, word) tells. Two
    texts within few edits fall into step again after each edit, so their walks have a small Hamming distance.
    Every second repetition walks to the left.
-3. Bit sampling: SAMPLED emitted words of a repetition are a bucket's key. The steps are drawn log-uniformly up to three times
-   the size, since the share of equal steps falls with the length of the walk. Items have been put into these
+3. Bit sampling: SAMPLED emitted words of a repetition are a bucket's key. The steps are drawn log-uniformly up to
+   the size, which a walk from the middle of an item takes to its end, since the share of equal steps falls with the length of the walk. Items have been put into these
    buckets from each of their segments; an item is a candidate in a window if any of REPETITIONS buckets holds it.
 4. Verification: windows of one item that overlap are taken together; where
    enough of the item's words stand in any order, the exact edit distance between the item and the best run of words is found.
@@ -51,14 +51,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokens import U64, Texts, Words, finalize, fold, groups, shingles_of, words_of
+from .tokens import U64, Texts, Words, among, code_points, finalize, fold, groups, shingles_of, words_of
 
 #: Shorter items must stand word for word.
 LEAST_WORDS = 8
 ANCHOR = 3
 #: Buckets that an item is put into from each of its segments, and the emitted words that make a bucket's key.
-REPETITIONS = 48
+REPETITIONS = 64
 SAMPLED = 2
+#: Texts are searched in groups of about so many bytes: a walk takes as many numpy calls for few windows as for many.
+SEARCHED_BYTES = 1 << 22
 #: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
 WINDOWS, CELLS = 512, 1 << 20
 #: Items go to the executors in blocks of about so many bytes of text.
@@ -78,25 +80,17 @@ PUNCTUATION = np.array(
 )
 
 
-def among(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(ranges[:, 0], points, "right") - 1
-    return (at >= 0) & (points <= ranges[at, 1])
-
-
 def parted(texts: Texts) -> Texts:
     """The texts with blanks around each character of scripts written without blanks."""
     data = PLAIN[texts.data]
-    first = np.flatnonzero(data >= 0xE0)
+    first, point, width = code_points(data)
     if not len(first):
         return Texts(data, texts.offsets)
-    wide = data[first] >= 0xF0
-    b = [data[np.minimum(first + j, len(data) - 1)].astype(np.int64) & 63 for j in range(4)]
-    point = np.where(wide, ((b[0] & 7) << 18) | (b[1] << 12) | (b[2] << 6) | b[3], ((b[0] & 15) << 12) | (b[1] << 6) | b[2])
-    blank = first[among(point, PUNCTUATION)]
-    for j in range(3):
-        data[blank + j] = 32
+    blank = among(point, PUNCTUATION)
+    for j in range(4):
+        data[first[blank & (width > j)] + j] = 32
     alone = among(point, UNSPACED)
-    cuts = np.unique(np.concatenate((first[alone], first[alone] + 3 + wide[alone])))
+    cuts = np.unique(np.concatenate((first[alone], first[alone] + width[alone])))
     cuts = cuts[cuts < len(data)]
     return Texts(np.insert(data, cuts, 32), texts.offsets + np.searchsorted(cuts, texts.offsets))
 
@@ -140,7 +134,7 @@ def sampled_steps(kind: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     rng = np.random.default_rng([kind, 77])
     out = []
     for r in range(REPETITIONS):
-        length = 3 << kind
+        length = 1 << kind  # an item's words on one side of a place, half its size, take so many steps
         steps = np.unique(np.exp(rng.uniform(0, np.log(length), SAMPLED)).astype(np.int64))
         while len(steps) < SAMPLED:
             steps = np.unique(np.append(steps, rng.integers(0, max(length, SAMPLED))))
@@ -429,7 +423,7 @@ def finder(block: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         for batch in batches if index else ():
             ids = batch.column("doc_id").cast(pa.int64())
-            for at, _, texts in groups(batch.column("text")):
+            for at, _, texts in groups(batch.column("text"), SEARCHED_BYTES):
                 rows = leaks_in(texts, index)
                 if len(rows):
                     columns = [ids.take(pa.array(rows[:, 0] + at)), pa.array(index.ids[rows[:, 1]], pa.int64())]
@@ -451,7 +445,7 @@ def dropper(block: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         index = index_of(block)
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for at, _, texts in groups(batch.column("text")) if index else ():
+            for at, _, texts in groups(batch.column("text"), SEARCHED_BYTES) if index else ():
                 keep[at + leaks_in(texts, index)[:, 0]] = False
             yield batch.filter(pa.array(keep))
 
