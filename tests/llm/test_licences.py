@@ -37,7 +37,7 @@ def test_planted_notices(spark, model):
 
 def test_held_out_variants(model):
     rng = np.random.default_rng(99)
-    fill = ["alpha", "beta", "the", "of", "code"]
+    fill = np.array(["alpha", "beta", "the", "of", "code"])
     right = total = 0
     for family, texts in L.NOTICES.items():
         for text in texts:
@@ -45,7 +45,32 @@ def test_held_out_variants(model):
                 _, _, t = next(groups(pa.array([L.varied(rng, text, fill)])))
                 total += 1
                 right += family in {n["family"] for n in L.notices_in(t, model)[0]}
-    assert right >= 0.85 * total
+    assert right >= 0.9 * total, right / total
+
+
+#: Wordings that neither the notices nor their variations have.
+WORDINGS = {
+    "This file is made available to you under the Apache License, Version 2.0; see LICENSE.": "Apache-2.0",
+    "Code in this folder is distributed under the terms of the MIT License, see the file COPYING.": "MIT",
+    "The software is provided “as is”, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability and fitness for a particular purpose.": "MIT",
+    "You can redistribute this package and/or modify it under the terms of the GNU General Public License, version 2, as published by the Free Software Foundation.": "GPL",
+    "You should have received a copy of the GNU Lesser General Public License along with this library; this library is free software.": "LGPL",
+    "This server is free software, licensed under the GNU Affero General Public License, version 3 or later.": "AGPL",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation.": "BSD",
+    "This Source Code is subject to the terms of the Mozilla Public License, v. 2.0 and later.": "MPL-2.0",
+    "All pictures here are licensed under a Creative Commons Attribution 4.0 International License unless noted.": "CC-BY",
+    "All materials are made available under the terms of the Eclipse Public License 2.0 by their authors.": "EPL-2.0",
+    "What follows is free and unencumbered software released into the public domain by its author.": "Unlicense",
+    "The library is distributed under the Boost Software License, Version 1.0, a copy of which comes with it.": "BSL-1.0",
+    "Our typeface is licensed under the SIL Open Font License, Version 1.1, with reserved names.": "OFL-1.1",
+}
+
+
+def test_independent_wordings(model):
+    _, _, t = next(groups(pa.array(list(WORDINGS))))
+    found = [{n["family"] for n in f} for f in L.notices_in(t, model)]
+    missed = [(x, f) for (x, family), f in zip(WORDINGS.items(), found) if family not in f]
+    assert len(missed) <= 0.1 * len(WORDINGS), missed
 
 
 def test_notices_inside_longer_paragraphs(model):

@@ -33,9 +33,12 @@ from .decontaminate import PLAIN, spread
 from .tokens import IS_BLANK, U64, Texts, Words, finalize, groups, words_of
 
 BUCKETS = 1 << 18
-#: The bound of the sample of documents that gives paragraphs without a licence.
+#: The bound of the sample of documents that gives paragraphs without a licence: rows, characters of a row,
+#: paragraphs drawn from these, and paragraphs whose words vary the notices.
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 20_000
+SAMPLE_PARAGRAPHS = 6_000
+FILLER_PARAGRAPHS = 2_000
 #: Least share of bigrams, of paragraph or notice, whichever has more, that confirms a prediction.
 CONFIRMED = 0.4
 #: A paragraph that is a part of a longer notice: least share of its bigrams, and least words.
@@ -61,6 +64,8 @@ NOTICES = {
         "Licensed under the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ],
     "GPL": [
@@ -87,6 +92,10 @@ NOTICES = {
         "This project is licensed under the BSD 2-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "MPL-2.0": [
@@ -116,6 +125,29 @@ NOTICES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
         "SPDX-License-Identifier: ISC",
     ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License, Version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
+    "Zlib": [
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions.",
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+    ],
+    "OFL-1.1": [
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+        "SPDX-License-Identifier: OFL-1.1",
+    ],
 }
 # Sentences that speak of licences and grant none.
 LOOKALIKES = [
@@ -236,7 +268,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def varied(rng: np.random.Generator, text: str, fill: list[str]) -> str:
+def varied(rng: np.random.Generator, text: str, fill: np.ndarray) -> str:
     words = text.split()
     out = []
     for w in words:
@@ -260,8 +292,8 @@ def fit(sample: list[str], copies: int = 30, epochs: int = 4, seed: int = 13) ->
         found = paragraphs_of(texts)
         for s, e in zip(found.start.tolist(), found.end.tolist()):
             negatives.append(texts.data[s:e].tobytes().decode("utf-8", "replace"))
-    fill += [w for text in negatives[: 2000] for w in text.split()]
-    chosen = rng.permutation(len(negatives))[:6000] if len(negatives) > 6000 else np.arange(len(negatives))
+    fill = np.array(fill + [w for text in negatives[:FILLER_PARAGRAPHS] for w in text.split()])
+    chosen = rng.permutation(len(negatives))[:SAMPLE_PARAGRAPHS]
     rows: list[tuple[int, np.ndarray]] = []
     for i in chosen:
         own = bigrams(negatives[i])
@@ -270,7 +302,7 @@ def fit(sample: list[str], copies: int = 30, epochs: int = 4, seed: int = 13) ->
     for k, texts in enumerate(NOTICES.values()):
         for text in texts:
             rows += [(k, one(text))] + [(k, one(varied(rng, text, fill))) for _ in range(copies)]
-    rows = [(k, (g >> U64(64 - 18)).astype(np.int64)) for k, g in rows if len(g)]
+    rows = [(k, *np.unique((g >> U64(64 - 18)).astype(np.int64), return_counts=True)) for k, g in rows if len(g)]
     order = rng.permutation(len(rows))
     held, train = order[: len(rows) // 5], order[len(rows) // 5 :]
     weights = np.zeros((BUCKETS, len(families)), np.float32)
@@ -278,14 +310,14 @@ def fit(sample: list[str], copies: int = 30, epochs: int = 4, seed: int = 13) ->
     total, done = epochs * len(train), 0
     for _ in range(epochs):
         for i in rng.permutation(train):
-            k, grams = rows[i]
+            k, grams, times = rows[i]
             rate = 4.0 * (1 - done / total)
             done += 1
-            error = softmax(weights[grams].mean(axis=0) + bias)
+            error = softmax(times @ weights[grams] / times.sum() + bias)
             error[k] -= 1
-            np.add.at(weights, grams, (-rate * error).astype(np.float32))
+            weights[grams] -= (rate * times[:, None] * error).astype(np.float32)
             bias -= (0.02 * rate * error).astype(np.float32)
-    logits = np.array([weights[rows[i][1]].mean(axis=0) + bias for i in held])
+    logits = np.array([rows[i][2] @ weights[rows[i][1]] / rows[i][2].sum() + bias for i in held])
     truth = np.array([rows[i][0] for i in held])
     at = np.arange(len(held))
     temperature = min(
