@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 import pytest
 from oracle import compare
@@ -77,6 +78,16 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_a_text_of_many_findings(spark, tmp_path):
+    """100,000 findings in one text: the work must not grow with their square."""
+    keys = [f"{n:024x}" for n in range(100_000)]
+    docs = spark.createDataFrame([(1, "é " + " ".join(keys)), (2, keys[0])], "doc_id bigint, text string")
+    begun = time.monotonic()
+    found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in secrets.scan(docs, str(tmp_path / "ledger")).collect()}
+    assert time.monotonic() - begun < 60
+    assert found == {1: [(2 + 25 * n, 26 + 25 * n, "hex") for n in range(len(keys))], 2: [(0, 24, "hex")]}
+
+
 def test_a_rerun_moves_keys_only(spark, sf, tmp_path):
     """With a full ledger no text is read but for its address; with a few unseen blobs none is shuffled."""
     path = str(tmp_path / "ledger")
