@@ -141,3 +141,32 @@ def test_no_language_is_left_out(spark):
     model = language.train(docs.where("doc_id >= 2000"))
     got = {r.doc_id: r.lang_pred for r in language.identify(docs.where("doc_id >= 2000"), model).collect()}
     assert got == {r[0]: r[2] for r in rows if r[0] >= 2_000}
+
+
+def test_the_sample_is_bounded_in_characters(spark, monkeypatch):
+    rows = [(i, "schöne grüße " * 400, f"l{i % 3}", None, None) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(language, "CHARS", 200_000)
+    got = [len(r.text) for r in language.sampled(docs).collect()]
+    assert len(got) >= 250 and sum(got) <= 200_000 and min(got) > language.EXCERPT_CHARS[1]
+    monkeypatch.setattr(language, "CHARS", 1_000)
+    assert {len(r.text) for r in language.sampled(docs).collect()} == {language.EXCERPT_CHARS[1]}
+
+
+def test_training_on_texts_of_few_subwords_stays_finite():
+    rows = [(f"l{k:02d}", np.array([k, 100 + k]), np.array([3.0, 1.0])) for k in range(26) for _ in range(12)]
+    rows += [(None, np.array([500 + i % 40]), np.array([2.0])) for i in range(120)]
+    with np.errstate(over="raise", invalid="raise", divide="raise"):
+        model = language.fit(rows)
+    assert np.isfinite(model.scores).all() and np.isfinite(model.bias).all()
+    told = (model.scores[[[k, 100 + k] for k in range(26)]] * np.array([0.75, 0.25])[:, None]).sum(1) + model.bias
+    assert [model.languages[i] for i in told[:, :-1].argmax(1)] == [f"l{k:02d}" for k in range(26)]
+
+
+def test_thresholds_of_certain_rows_stay_below_one():
+    own, other = np.ones(50), np.full(50, 0.2)
+    assert 0.2 < language.threshold_of(own, other) < 1
+    rng = np.random.default_rng(1)
+    rows = [(lang, np.arange(at, at + 300), np.ones(300)) for at, lang in ((0, "a"), (400, "b"), (800, None)) for _ in range(60)]
+    rows = [(lang, rng.choice(buckets, 200, replace=False), counts[:200]) for lang, buckets, counts in rows]
+    assert (language.fit(rows, epochs=12).thresholds < 1).all()

@@ -44,6 +44,8 @@ ROWS_PER_LANGUAGE = 1_000
 ROWS = 50_000
 LEAST_ROWS = 20
 MAX_CHARS = 4_000
+#: The bound of the sample's characters: with more rows each has a shorter excerpt, but no less than EXCERPT_CHARS.
+CHARS = 16_000_000
 #: Excerpts and disguises have from so many to so many characters.
 EXCERPT_CHARS = (20, 400)
 #: One sampled row in so many calibrates and isn't trained on.
@@ -168,10 +170,11 @@ def fit(
             pull = weight @ error
             weight -= rate * np.outer(mean, error)
             bias -= 0.1 * rate * error
-            embed[buckets] -= (20 * rate * share)[:, None] * pull
+            step = 20 * rate / max(1.0, 20 * float(share @ share))  # a text of few subwords would overshoot
+            embed[buckets] -= (step * share)[:, None] * pull
     scores = embed @ weight
     keep = sorted(held) or train
-    logits = np.array([shares[i][1] @ scores[shares[i][0]] + bias for i in keep])
+    logits = np.array([shares[i][1] @ scores[shares[i][0]] + bias for i in keep], np.float64)
     truth = np.array([index[rows[i][0]] for i in keep])
     temperature = calibrate(logits, truth)
     p = softmax(logits / temperature)[:, :-1]
@@ -254,11 +257,13 @@ def sampled(docs: DataFrame, seed: int = 11) -> DataFrame:
     most = max(LEAST_ROWS, min(ROWS_PER_LANGUAGE, ROWS // len(counts)))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1_000_000.0)
     rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, most / r["count"]))])
-    spare = F.greatest(F.length("text") - MAX_CHARS, F.lit(0))
+    expected = sum(min(most, r["count"]) for r in counts)
+    chars = max(EXCERPT_CHARS[1], min(MAX_CHARS, CHARS // expected))
+    spare = F.greatest(F.length("text") - chars, F.lit(0))
     begin = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "lang"), spare + 1) + 1).cast("int")
     return (
         rows.where(draw < F.try_element_at(rate, F.col("lang")))
-        .select("lang", F.substr("text", begin, F.lit(MAX_CHARS)).alias("text"), "doc_id")
+        .select("lang", F.substr("text", begin, F.lit(chars)).alias("text"), "doc_id")
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "text", "lang")
         .limit(2 * most * len(counts))
     )
@@ -285,7 +290,7 @@ def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def train(docs: DataFrame) -> Model | None:
-    """The sampled rows come to the driver as bucket counts: at most rows x MAX_CHARS numbers, most often far fewer."""
+    """The sampled rows come to the driver as bucket counts: a few numbers per character of the sample at most, most often far fewer."""
     rows = (
         sampled(docs)
         .select("lang", "text")
