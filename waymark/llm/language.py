@@ -157,13 +157,17 @@ def fit(
     embed = rng.normal(0, 0.3, (BUCKETS, dim)).astype(np.float32)
     weight = np.zeros((dim, len(index)), np.float32)
     bias = np.zeros(len(index), np.float32)
-    shares = [(buckets, (counts / counts.sum()).astype(np.float32)) for _, buckets, counts in rows]
+    totals = [counts.sum() for _, _, counts in rows]
+
+    def share_of(i: int) -> tuple[np.ndarray, np.ndarray]:  # made when wanted: all of them would double the sample
+        return rows[i][1], (rows[i][2] / totals[i]).astype(np.float32)
+
     steps, done = epochs * len(train), 0
     for _ in range(epochs):
         for i in rng.permutation(train):
             rate = 0.5 * (1 - done / steps)
             done += 1
-            buckets, share = shares[i]
+            buckets, share = share_of(i)
             mean = share @ embed[buckets]
             error = softmax(mean @ weight + bias)
             error[index[rows[i][0]]] -= 1
@@ -174,12 +178,12 @@ def fit(
             embed[buckets] -= (step * share)[:, None] * pull
     scores = embed @ weight
     keep = sorted(held) or train
-    logits = np.array([shares[i][1] @ scores[shares[i][0]] + bias for i in keep], np.float64)
+    logits = np.array([share @ scores[buckets] + bias for buckets, share in map(share_of, keep)], np.float64)
     truth = np.array([index[rows[i][0]] for i in keep])
     temperature = calibrate(logits, truth)
     p = softmax(logits / temperature)[:, :-1]
     best, right, other = p.max(1), p.argmax(1) == truth, truth == len(languages)
-    band = np.digitize([rows[i][2].sum() for i in keep], BANDS)
+    band = np.digitize([totals[i] for i in keep], BANDS)
     thresholds = np.array([threshold_of(best[right & (band == k)], best[other & (band == k)]) for k in range(len(BANDS) + 1)])
     thresholds = np.maximum(thresholds, 1 / len(index))
     return Model(languages, scores.astype(np.float64), bias.astype(np.float64), temperature, thresholds)
@@ -284,7 +288,7 @@ def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             key, count = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
             cuts = np.searchsorted(key, np.arange(texts.n + 1) * BUCKETS).astype(np.int32)
             lists = [
-                pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (key % BUCKETS, count)
+                pa.ListArray.from_arrays(cuts, pa.array(x)) for x in ((key % BUCKETS).astype(np.int16), count.astype(np.int32))
             ]
             yield pa.RecordBatch.from_arrays([names[at:to], *lists], ["lang", "buckets", "counts"])
 
@@ -294,13 +298,14 @@ def train(docs: DataFrame) -> Model | None:
     rows = (
         sampled(docs)
         .select("lang", "text")
-        .mapInArrow(count_buckets, "lang string, buckets array<int>, counts array<int>")
+        .mapInArrow(count_buckets, "lang string, buckets array<smallint>, counts array<int>")
         .toArrow()
     )
     out = []
-    for lang, buckets, counts in zip(rows["lang"], rows["buckets"], rows["counts"]):
-        if len(buckets.values):
-            out.append((lang.as_py(), buckets.values.to_numpy(), counts.values.to_numpy().astype(float)))
+    for batch in rows.to_batches():  # slices of the batches, no copies
+        langs = batch.column("lang").to_pylist()
+        (cuts, buckets), (_, counts) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in batch.columns[1:])
+        out += [(lang, buckets[a:b], counts[a:b]) for lang, a, b in zip(langs, cuts[:-1], cuts[1:]) if b > a]
     return fit(out)
 
 
