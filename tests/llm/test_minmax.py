@@ -152,3 +152,24 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "a bigint, b bigint")
     got = {r.node: r.root for r in graph.components(edges).collect()}
     assert got == {**{i: 1 for i in range(1, 201)}, 500: 500, 501: 500}
+
+
+@pytest.mark.parametrize("nodes, links", [(0, 0), (3, 4), (40, 20), (40, 45), (300, 260), (25, 200)])
+def test_components_of_drawn_edges(spark, nodes, links):
+    rng = random.Random(links)
+    edges = [(rng.randrange(-9, nodes), rng.randrange(-9, nodes)) for _ in range(links)]
+    root = {x: x for a, b in edges if a != b for x in (a, b)}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert sorted((r.node, r.root) for r in got) == sorted(root.items())
+
+
+def test_stars_end_after_one_look(spark, monkeypatch):
+    edges = spark.range(1, 500).select(F.col("id").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    written, whole = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df, name: written.append(name) or whole(df, name))
+    assert graph.components(edges).where("root = 0").count() == 500
+    assert written == ["edges", "least"]

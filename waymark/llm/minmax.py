@@ -297,8 +297,9 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     stars = cut(spokes.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     nodes = cut(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "nodes")
     sets = sets_of(docs, signed, nodes, size)
-    found = cut(components(confirm(stars, sets, percent)), "found")
-    joined = components(compare_blocks(open_members(spokes, found), sets, percent)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    found = components(confirm(stars, sets, percent))
+    joined = components(compare_blocks(open_members(spokes, found), sets, percent))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
     tops = found.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("top"))
     alone = joined.join(found, joined.root == found.node, "left_anti").select(F.col("root").alias("node"), "top")
     tops = cut(tops.unionByName(alone), "tops")
