@@ -190,63 +190,70 @@ def comparer(percent: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def confirm(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The links (a, b) that hold on the full sets."""
+    """The links (a, b) that hold on the full sets. A node with many links had best be a: its set is sent once, theirs once each."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return links.join(one, "a").join(two, "b").where(100 * common >= percent * union).select("a", "b")
+    return links.join(two, "b").join(one, "a").where(100 * common >= percent * union).select("a", "b")
 
 
 def with_roots(spokes: DataFrame, found: DataFrame) -> DataFrame:
-    """band, node, n and root, the component of the node so far."""
-    return spokes.join(found, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+    """The spokes with root, the component of the node so far."""
+    return spokes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def open_members(spokes: DataFrame, found: DataFrame) -> DataFrame:
-    """The spokes (with root) of buckets whose nodes lie in several components; of buckets of the same nodes one."""
-    h = F.xxhash64("node")
+def open_members(spokes: DataFrame, found: DataFrame, flag: str | None = None) -> DataFrame:
+    """The spokes (with root, and many, their number) of buckets whose nodes lie in several components; of buckets of the same
+    nodes one. flag: a column that must hold for one of the nodes, and that tells nodes apart."""
+    h = F.xxhash64("node", flag) if flag else F.xxhash64("node")
     buckets = cut(
         with_roots(spokes, found)
         .groupBy("band")
         .agg(
             F.min("root").alias("lo"),
             F.max("root").alias("hi"),
+            F.max(flag if flag else F.lit(True)).alias("flagged"),
             F.count("*").alias("many"),
             F.bit_xor(h).alias("mix"),
             F.sum(h % (1 << 31)).alias("total"),
         )
-        .where("lo != hi")
+        .where("lo != hi AND flagged")
         .groupBy("many", "mix", "total")
         .agg(F.min("band").alias("band")),
         "open",
     )
-    return cut(with_roots(spokes.join(buckets.select("band"), "band", "left_semi"), found), "members")
+    return cut(with_roots(spokes.join(buckets.select("band", "many"), "band"), found), "members")
 
 
 def compare_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components that meet in a bucket.
 
     members: band, node, root (its component so far), n. A component of half a block or more has
-    blocks of its own; the others of a bucket share blocks. Nodes are dealt by hash. The tables of blocks
+    blocks of its own; the others of a bucket share blocks. Nodes are parted by the size of their sets, in steps such that sets two steps
+    apart can't be similar enough, and dealt by hash. The tables of blocks
     are small, and written, so that a join with a large bucket can be split.
     """
-    sizes = members.groupBy("band", "root").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
+    ratio = log(100 / percent) * (1 + 1e-9) + 1e-9  # a little more, so that rounding parts no pair
+    members = members.select("band", "node", "root", "n", F.floor(F.log("n") / ratio).cast("int").alias("step"))
+    sizes = members.groupBy("band", "root", "step").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
     own = (F.col("m") >= BLOCK_NODES // 2) | (F.col("shingles") >= BLOCK_SHINGLES // 2)
     pools = cut(sizes.withColumn("pool", F.when(own, F.col("root")).otherwise(-1)), "pools")  # -1: the shared pool
-    blocks = pools.groupBy("band", "pool").agg(
+    blocks = pools.groupBy("band", "step", "pool").agg(
         F.greatest(
             F.ceil(F.sum("m") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES), F.lit(1).cast("bigint")
         ).alias("n_blocks")
     )
-    pools = cut(pools.join(blocks, ["band", "pool"]).select("band", "root", "pool", "n_blocks"), "blocks")
-    block = F.struct("pool", F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("part")).alias("block")
-    dealt = cut(members.join(pools, ["band", "root"]).select("band", "node", "root", block), "dealt")
+    pools = cut(pools.join(blocks, ["band", "step", "pool"]).select("band", "root", "step", "pool", "n_blocks"), "blocks")
+    block = F.struct("step", "pool", F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("part")).alias("block")
+    dealt = cut(members.join(pools, ["band", "root", "step"]).select("band", "node", "root", block), "dealt")
     listed = cut(dealt.select("band", "block").distinct(), "listed")
+    reach = listed.withColumn("meets", F.explode(F.array("block.step", F.col("block.step") + 1)))
+    others = listed.select("band", F.col("block").alias("other"), F.col("block.step").alias("meets"))
     pairs = cut(
-        listed.join(listed.withColumnRenamed("block", "other"), "band")
+        reach.join(others, ["band", "meets"])
         .where("block <= other AND (block.pool != other.pool OR block.pool = -1)")
-        .withColumn("pair", F.struct("band", "block", "other")),
+        .select("band", "block", "other", F.struct("band", "block", "other").alias("pair")),
         "pairs",
     )
     left = dealt.join(pairs.select("band", "block", "pair"), ["band", "block"]).withColumn("side", F.lit(0))
@@ -275,6 +282,25 @@ def sets_of(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) ->
     return cut(sets.select("node", "shingles"), "sets")
 
 
+def labelled(signed: DataFrame, classes: DataFrame, found: DataFrame, joined: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, class, component_id, kept of every signed row.
+
+    found: components of nodes; joined: components of links between roots of those and nodes that have none.
+    """
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    tops = found.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("top"))
+    alone = joined.join(found, joined.root == found.node, "left_anti").select(F.col("root").alias("node"), "top")
+    tops = cut(tops.unionByName(alone), "tops")
+    named = classes.select("class", "node").join(tops, "node", "left").select("class", F.coalesce("top", "node").alias("top"))
+    return (
+        signed.select("doc_id", F.col("n").alias("n_shingles"), "class")
+        .join(named, "class", "left")
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id")))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .drop("top")
+    )
+
+
 def link(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, class, component_id, kept of every row of ``docs``."""
     signed = cut(
@@ -299,18 +325,7 @@ def link(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     sets = sets_of(docs, signed, nodes, size)
     found = components(confirm(stars, sets, percent))
     joined = components(compare_blocks(open_members(spokes, found), sets, percent))
-    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    tops = found.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("top"))
-    alone = joined.join(found, joined.root == found.node, "left_anti").select(F.col("root").alias("node"), "top")
-    tops = cut(tops.unionByName(alone), "tops")
-    named = classes.select("class", "node").join(tops, "node", "left").select("class", F.coalesce("top", "node").alias("top"))
-    return (
-        signed.select("doc_id", F.col("n").alias("n_shingles"), "class")
-        .join(named, "class", "left")
-        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id")))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .drop("top")
-    )
+    return labelled(signed, classes, found, joined)
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -9,6 +9,7 @@ from .lattice import op8_lm_score
 from .minmax import op3_minhash_dedup
 from .licences import op5_licence_scan
 from .mixing import OP6_SQL, op6_mix_sources
+from .ngrams import op11_ngram_join
 from .negatives import OP13_SQL, op13_hard_negatives
 from .pii import op9_pii
 from .quality import op10_quality_rules
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ngram_join": op11_ngram_join,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
 }
