@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from .scan import running_last, with_runs
 
 # The basemap registry (id, label, kind, tier, max_zoom).
 PROVIDERS = [
@@ -143,29 +144,29 @@ def fold_preferences(patches: DataFrame) -> DataFrame:
     )
 
 
-def preference_history(patches: DataFrame) -> DataFrame:
-    """The state after every patch: the running form of ``fold_preferences``."""
-    by = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    def running(present: Column, value: Column) -> Column:
-        return F.last(F.when(present, F.struct(value.alias("v"))), ignorenulls=True).over(by)["v"]
-
-    return patches.select(
+def preference_history(patches: DataFrame, parts: int | None = None) -> DataFrame:
+    """The state after every patch: the running form of ``fold_preferences``. A user with most patches is split (``scan``)."""
+    present = {
+        "basemap": F.when(F.col("has_basemap"), F.struct(F.col("basemap_id").alias("v"))),
+        "center": F.when(F.col("last_center").isNotNull(), F.struct(F.col("last_center").alias("v"))),
+        "zoom": F.when(F.col("has_zoom"), F.struct(F.col("last_zoom").alias("v"))),
+    }
+    rows = patches.select("user_id", "ts", "event_id", *[F.coalesce(c, F.lit(None)).alias(f"_{n}") for n, c in present.items()])
+    out = running_last(rows, "user_id", ["ts", "event_id"], {n: F.col(f"_{n}") for n in present}, parts)
+    return out.select(
         "user_id",
         "event_id",
-        running(F.col("has_basemap"), F.col("basemap_id")).alias("basemap_id"),
-        running(F.col("last_center").isNotNull(), F.col("last_center")).alias("last_center"),
-        running(F.col("has_zoom"), F.col("last_zoom")).alias("last_zoom"),
+        F.col("basemap.v").alias("basemap_id"),
+        F.col("center.v").alias("last_center"),
+        F.col("zoom.v").alias("last_zoom"),
     )
 
 
-def toggled(selections: DataFrame) -> DataFrame:
+def toggled(selections: DataFrame, parts: int | None = None) -> DataFrame:
     """The selected id after each click (user_id, ts, event_id, place): the same place again deselects.
 
-    Inside a run of clicks on one place the odd ones select it.
+    Inside a run of clicks on one place the odd ones select it. A user with most clicks is split (``scan``).
     """
-    by = W.partitionBy("user_id").orderBy("ts", "event_id")
-    fresh = (~F.col("place").eqNullSafe(F.lag("place").over(by))) | (F.row_number().over(by) == 1)
-    runs = selections.withColumn("run", F.sum(fresh.cast("int")).over(by))
-    nth = F.row_number().over(W.partitionBy("user_id", "run").orderBy("ts", "event_id"))
-    return runs.withColumn("selected", F.when(nth % 2 == 1, F.col("place"))).drop("run")
+    other = ~F.col("place").eqNullSafe(F.col("_last"))
+    runs = with_runs(selections, "user_id", ["ts", "event_id"], F.col("place"), other, parts)
+    return runs.withColumn("selected", F.when(F.col("_nth") % 2 == 1, F.col("place"))).drop("_run", "_nth")

@@ -12,7 +12,7 @@ from .operators import integrity, places as P, upsert, users as U, viewport as V
 from .plans import imports, migrations
 from .schemas import TABLES
 from .sources import derived as D
-from .streaming.debounce import debounce
+from .streaming.debounce import debounce_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -849,12 +849,12 @@ SELECT user_id, max(ts) AS last_ts, count(*) AS n, arg_max(value, (ts, event_id)
 @query("debounce_fetch", debounce_sql("1 hour"))
 def debounce_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gap is an hour here: events lie minutes apart."""
-    return debounce(D.table(spark, sf_dir, "events"), "1 hour", tie="event_id")
+    return debounce_table(D.table(spark, sf_dir, "events"), "1 hour", tie="event_id")
 
 
 @query("debounce_save", debounce_sql("2 seconds"))
 def debounce_save(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return debounce(D.table(spark, sf_dir, "events"), "2 seconds", tie="event_id")
+    return debounce_table(D.table(spark, sf_dir, "events"), "2 seconds", tie="event_id")
 
 
 from . import queries_files  # noqa: E402, F401  registers the queries that write files

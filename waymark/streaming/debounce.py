@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.scan import with_runs
+
 #: Gaps of the fetch and of the save of a viewport.
 FETCH_GAP, SAVE_GAP = "250 milliseconds", "2 seconds"
 
@@ -30,6 +32,21 @@ def debounce(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts",
     )
 
 
+def debounce_table(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts", values: tuple[str, ...] = ("value",), tie: str | None = None, parts: int | None = None) -> DataFrame:
+    """The same on a table, where a key with most of the events is split (``scan``) and sessions are partial sums.
+
+    An event exactly a gap after another opens a session, as a timer has fired by then; ``session_window`` joins the two.
+    """
+    order = [ts, *([tie] if tie else [])]
+    quiet = F.col(ts) - F.col("_last") >= F.expr(f"INTERVAL '{gap}'")
+    runs = with_runs(events.select(key, *order, *values).where(F.col(ts).isNotNull()), key, order, F.col(ts), quiet, parts)
+    return (
+        runs.groupBy(key, "_run")
+        .agg(F.max(ts).alias("last_ts"), F.count("*").alias("n"), *[F.max_by(v, F.struct(*order)).alias(v) for v in values])
+        .drop("_run")
+    )
+
+
 def debounced_stream(events: DataFrame, gap: str = SAVE_GAP, lateness: str = "10 seconds", **kwargs) -> DataFrame:
     """The same on a stream: sessions come out, once each, when the watermark has passed them; later events are dropped."""
     return debounce(events.withWatermark(kwargs.get("ts", "ts"), lateness), gap, **kwargs)
