@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from .functions import text
 from .operators import integrity, upsert, viewport as V
 from .plans import imports
-from .queries import query, with_
+from .queries import FOLD_SQL, query, with_
 from .schemas import PLACES, PREFERENCES, TABLES
 from .sources import derived as D, files, sinks
 from .sources.scratch import scratch
+from .streaming import preferences as live
 
 STOPS_SQL = """
 stops AS (
@@ -307,3 +308,26 @@ def repeated_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     target = spark.createDataFrame([], PREFERENCES)
     return upsert.upsert_preferences(target, source, "n").select("user_id", "basemap_id", "last_zoom")
+
+
+# --- streams ----------------------------------------------------------------------------
+
+
+@query("preference_stream", with_(D.PATCHES_SQL, FOLD_SQL) + "SELECT * FROM preferences")
+def preference_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patches as a stream: they arrive up to ten minutes late, in three folders of files, and the stream is stopped
+    after each and goes on from its checkpoint. A heartbeat of no user, a day later, lets the last users fall quiet."""
+    patches, path, checkpoint = D.preference_patches(spark, sf_dir), scratch(spark, "arrivals"), scratch(spark, "checkpoint")
+    sink = live.PreferenceSink(scratch(spark, "saved"))
+    at = F.unix_seconds("ts") + F.col("event_id") * 37 % 600
+    first, last = patches.agg(F.min(at), F.max(at)).first()
+    third = F.least(F.floor((at - F.lit(first)) * 3 / F.lit((last or 0) - (first or 0) + 1)), F.lit(2))
+    heartbeat = spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.timestamp_seconds(F.lit((last or 0) + 86_400)).alias("ts") for f in patches.schema]
+    )
+    for n in range(3):
+        arrived = patches.where(third == n)
+        (arrived.unionByName(heartbeat) if n == 2 else arrived).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(patches.schema).parquet(path)
+        live.keep_preferences(stream, sink, checkpoint, lateness="20 minutes").awaitTermination()
+    return sink.table(spark)

@@ -15,6 +15,20 @@ def _fs(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where, jvm.org.apache.hadoop.fs.Path
 
 
+def folders_in(spark: SparkSession, path: str, complete: bool = False) -> list[str]:
+    """Names of the folders in a folder, sorted; complete: of those alone that Spark has finished writing. None if it isn't there."""
+    fs, where, at = _fs(spark, path)
+    if not fs.exists(where):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
+    return [n for n in names if not complete or fs.exists(at(f"{path}/{n}/_SUCCESS"))]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where, _ = _fs(spark, path)
+    fs.delete(where, True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Write beside the table, then swap folders: readers see the old rows or the new ones.
 
