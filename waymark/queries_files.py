@@ -317,7 +317,8 @@ def repeated_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preference_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The patches as a stream: they arrive up to ten minutes late, in three folders of files, and the stream is stopped
     after each and goes on from its checkpoint. A heartbeat of no user, a day later, lets the last users fall quiet."""
-    patches, path, checkpoint = D.preference_patches(spark, sf_dir), scratch(spark, "arrivals"), scratch(spark, "checkpoint")
+    log, path, checkpoint = D.preference_patches(spark, sf_dir), scratch(spark, "arrivals"), scratch(spark, "checkpoint")
+    patches = log.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark asks for instants
     sink = live.PreferenceSink(scratch(spark, "saved"))
     at = F.unix_seconds("ts") + F.col("event_id") * 37 % 600
     first, last = patches.agg(F.min(at), F.max(at)).first()
@@ -330,4 +331,4 @@ def preference_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         (arrived.unionByName(heartbeat) if n == 2 else arrived).write.mode("append").parquet(path)
         stream = spark.readStream.schema(patches.schema).parquet(path)
         live.keep_preferences(stream, sink, checkpoint, lateness="20 minutes").awaitTermination()
-    return sink.table(spark)
+    return sink.table(spark).withColumn("updated_at", F.col("updated_at").cast(log.schema["ts"].dataType))
