@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text
@@ -10,7 +10,7 @@ from .operators import integrity, upsert, viewport as V
 from .plans import imports
 from .queries import FOLD_SQL, query, with_
 from .schemas import PLACES, PREFERENCES, TABLES
-from .sources import derived as D, files, sinks
+from .sources import derived as D, dump, files, sinks
 from .sources.scratch import scratch
 from .streaming import preferences as live
 
@@ -39,7 +39,7 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN key % 9 > 0 THEN category END AS category, CASE WHEN key % 9 > 0 AND key % 7 > 0 THEN lng END AS lng, CASE WHEN key % 9 > 0 THEN lat END AS lat FROM stops""",
 )
 def json_array_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON array: objects, some with a number written as text, and bare numbers between them."""
+    """Files of one JSON array each: objects, some with a number written as text, and bare numbers between them."""
     path = scratch(spark, "array")
     as_text = F.when(F.col("key") % 7 == 0, F.col("lng").cast("string"))
     objects = F.when(as_text.isNotNull(), F.to_json(F.struct("name", "category", as_text.alias("lng"), "lat"))).otherwise(
@@ -47,17 +47,23 @@ def json_array_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     item = F.when(F.col("key") % 9 > 0, objects).otherwise(F.col("key").cast("string"))
     items = F.transform(F.array_sort(F.collect_list(F.struct("key", item.alias("item")))), lambda r: r["item"])
-    array = stops(spark, sf_dir).agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("]")).alias("value"))
-    sinks.write_json(array, path)
+    arrays = stops(spark, sf_dir).groupBy(part_of_keys()).agg(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
     return files.read_json_places(spark, path).select("idx", "is_object", "name", "category", "lng", "lat")
 
 
+def part_of_keys() -> Column:
+    """A name for each 500 keys, in their order: the rows of a file."""
+    return F.lpad(F.floor(F.col("key") / 500).cast("string"), 12, "0").alias("part")
+
+
 @query(
     "json_lines_file",
     "SELECT c_name AS name, c_mktsegment AS category, CAST(c_custkey % 360 - 180 AS DOUBLE) AS lng, CAST(c_custkey % 180 - 90 AS DOUBLE) AS lat,"
-    " (SELECT count(*) - 1 FROM customer) AS last_idx FROM customer",
+    " CAST(row_number() OVER (ORDER BY c_custkey % 7 < 3, c_custkey) - 1 AS BIGINT) AS idx FROM customer",
 )
 def json_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of files, the larger one last: idx is the order of paths and lines, however Spark packs the files."""
     path = scratch(spark, "lines")
     key = F.col("c_custkey")
     rows = D.table(spark, sf_dir, "customer").select(
@@ -65,11 +71,13 @@ def json_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("category"),
         (key % 360 - 180).cast("double").alias("lng"),
         (key % 180 - 90).cast("double").alias("lat"),
+        (key % 7 < 3).alias("late"),
+        key.alias("key"),
     )
-    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-    staged = files.read_json_line_places(spark, path)
-    last = staged.agg(F.max("idx").alias("last_idx"))
-    return staged.select("name", "category", "lng", "lat").join(F.broadcast(last))
+    for late in (False, True):
+        ordered = rows.where(F.col("late") == late).repartitionByRange("key").sortWithinPartitions("key")
+        ordered.select(F.to_json(F.struct("name", "category", "lng", "lat")).alias("value")).write.text(f"{path}/late={late}")
+    return files.read_json_line_places(spark, f"{path}/late=*").select("name", "category", "lng", "lat", "idx")
 
 
 @query(
@@ -79,14 +87,15 @@ def json_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM stops WHERE lng BETWEEN -180 AND 180""",
 )
 def kml_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Placemarks inside one folder; those out of range are left out, as are blank descriptions."""
+    """Files of placemarks inside one folder each; those out of range are left out, as are blank descriptions."""
     path = scratch(spark, "kml")
     note = F.when(F.col("key") % 2 == 0, F.format_string("<description><![CDATA[note & more %d]]></description>", "key")).otherwise("")
     at = F.format_string("<Point><coordinates>%s,%s,0</coordinates></Point>", F.col("lng").cast("string"), F.col("lat").cast("string"))
     mark = F.concat(F.lit("<Placemark><name> "), "name", F.lit(" </name>"), note, at, F.lit("</Placemark>"))
     marks = F.array_join(F.array_sort(F.collect_list(mark)), "\n")
     head = '<?xml version="1.0"?>\n<kml><Document><Folder><name>Depots</name>\n'
-    sinks.write_json(stops(spark, sf_dir).agg(F.concat(F.lit(head), marks, F.lit("\n</Folder></Document></kml>")).alias("value")), path)
+    documents = stops(spark, sf_dir).groupBy(part_of_keys()).agg(F.concat(F.lit(head), marks, F.lit("\n</Folder></Document></kml>")).alias("value"))
+    documents.write.partitionBy("part").text(path)
     return files.read_kml_places(spark, path).select("category", "name", "description", "lng", "lat")
 
 
@@ -119,6 +128,29 @@ def backup_and_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
+@query(
+    "dump_and_restore",
+    with_(D.PLACES_SQL, D.USERS_SQL)
+    + r"""SELECT id, name || chr(9) || 'two' AS name, category, replace(description, 'Place ', 'COPY public.users (id) FROM stdin;' || chr(10) || '\.' || chr(13) || '\N\') AS description,
+  lng, lat, created_at, (SELECT count(*) FROM users WHERE is_guest) AS guests FROM places""",
+)
+def dump_and_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables through a dump of text and back into tables that had other rows; texts hold what marks rows and sections."""
+    folder, places, users = (scratch(spark, n) for n in ("dump", "places", "users"))
+    odd = "COPY public.users (id) FROM stdin;\n\\.\r\\N\\"
+    rows = D.places(spark, sf_dir).select(
+        "id", F.concat("name", F.lit("\ttwo")).alias("name"), "category", F.replace("description", F.lit("Place "), F.lit(odd)).alias("description"), "lng", "lat", "created_at"
+    )
+    people = D.users(spark, sf_dir)
+    schemas = {"users": people.schema, "places": rows.schema}
+    for path, df in ((places, rows.limit(3)), (users, people.limit(3))):
+        df.write.parquet(path)
+    dump.write_dump(spark, {"users": people, "places": rows}, folder)
+    dump.restore_dump(spark, folder, {"users": users, "places": places}, schemas, confirmed=True)
+    guests = spark.read.parquet(users).agg(F.count_if("is_guest").alias("guests"))
+    return spark.read.parquet(places).join(F.broadcast(guests))
+
+
 @query(
     "restore_schemas",
     with_(D.PLACES_SQL)

@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from ..functions import bag, text
+from .lines import located, with_index
 from .scratch import scratch
 
 FIELDS = ["name", "category", "description", "photo_url", "address", "website", "hours"]
@@ -49,32 +50,36 @@ def _json_number(value: Column, path: str) -> Column:
 
 
 def read_json_places(spark: SparkSession, path: str) -> DataFrame:
-    """A file that holds one JSON array -> idx, is_object, the text fields, lng, lat; elements keep their JSON types.
+    """Files that hold one JSON array each -> idx, is_object, the text fields, lng, lat; elements keep their JSON types.
 
-    Invalid JSON or another top-level value: BadFile. One array is one JSON value, so the file is parsed in one
+    idx numbers the elements of all files, in the order of their paths.
+    Invalid JSON or another top-level value: BadFile. One array is one JSON value, so a file is parsed in one
     task; its elements are spread afterwards. Large files should come as JSON Lines, see ``read_json_line_places``.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
+    texts = spark.read.text(path, wholetext=True)
+    whole = texts.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("doc"))
     kinds = {r[0] for r in whole.select(F.schema_of_variant("doc")).distinct().collect()}
     if not kinds or any(k is None or not k.startswith("ARRAY") for k in kinds):
         raise BadFile(f"{path} must hold a JSON array")
-    items = whole.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer())).select(
-        F.col("pos").cast("bigint").alias("idx"), "value"
-    )
-    return _staged(items)
+    n = F.size(F.col("doc").cast("array<variant>"))
+    before = F.sum(n).over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))  # a row a file
+    starts = whole.select("file", F.coalesce(before, F.lit(0)).alias("start"))
+    items = whole.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer())).select("file", "pos", "value")
+    return _staged(items.join(starts, "file").select((F.col("pos") + F.col("start")).alias("idx"), "value"))
 
 
 def read_json_line_places(spark: SparkSession, path: str) -> DataFrame:
-    """A file with one JSON value a line -> the rows of ``read_json_places``. Spark splits the file over tasks.
+    """Files with one JSON value a line -> the rows of ``read_json_places``. Spark splits files over tasks.
 
+    idx numbers the lines of all files, in the order of their paths.
     Blank lines don't count; a line that isn't valid JSON: BadFile.
     """
     lines = spark.read.text(path).where(F.col("value").rlike(r"[^ \t\r]"))
     bad = lines.where(F.try_parse_json("value").isNull()).count()
     if bad:
         raise BadFile(f"{path} has {bad} lines that aren't JSON")
-    placed = numbered(lines.withColumn("place_in_file", F.monotonically_increasing_id()), "place_in_file")
-    return _staged(placed.select(F.col("idx").cast("bigint").alias("idx"), F.try_parse_json("value").alias("value")))
+    placed = with_index(located(lines))
+    return _staged(placed.select("idx", F.try_parse_json("value").alias("value")))
 
 
 def _staged(items: DataFrame) -> DataFrame:
@@ -94,37 +99,43 @@ def _as_js_text(value: Column) -> Column:
     return F.when(text.trim(value).rlike(r"^[+-]?(0[xX][0-9a-fA-F]+|[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?)$"), F.lit("")).otherwise(value)
 
 
-def kml_folder(spark: SparkSession, path: str) -> str:
-    """The name of the document's one folder, or "Uncategorized" when there is none or are several."""
+def kml_folders(spark: SparkSession, path: str) -> DataFrame:
+    """file, folder: the name of a file's one folder, or "Uncategorized" when there is none or are several. A file without folders isn't listed."""
     schema = StructType([StructField("name", StringType())])
-    names = spark.read.format("xml").option("rowTag", "Folder").schema(schema).load(path).limit(2).collect()
-    only = names[0]["name"] if len(names) == 1 else None
-    return only or "Uncategorized"
+    folders = spark.read.format("xml").option("rowTag", "Folder").schema(schema).load(path)
+    only = F.when(F.count("*") == 1, F.nullif(F.min("name"), F.lit("")))
+    found = folders.select("name", F.col("_metadata.file_path").alias("file")).groupBy("file").agg(only.alias("folder"))
+    return found.select("file", F.coalesce("folder", F.lit("Uncategorized")).alias("folder"))
 
 
 def read_kml_places(spark: SparkSession, path: str, category: str | None = None) -> DataFrame:
-    """Placemarks at any depth -> staged import rows; ``category`` goes before the folder's name.
+    """Placemarks at any depth of the files -> staged import rows; ``category`` goes before the name of the file's folder.
 
-    Placemarks without a readable point, in range, or without a name are dropped, as the import does.
+    Placemarks without a readable point, in range, or without a name are dropped, as the import does; idx numbers the others.
     """
     marks = spark.read.format("xml").option("rowTag", "Placemark").schema(KML).load(path)
-    label = category or kml_folder(spark, path)
     fields = F.transform(
         F.coalesce("ExtendedData.Data", F.array().cast("array<struct<_name:string,value:string>>")),
         lambda d: F.struct(d["_name"].alias("name"), d["value"].alias("value")),
     )
     raw = F.col("raw")
-    cleaned = marks.select(
-        F.monotonically_increasing_id().alias("place_in_file"),
+    cleaned = located(marks).select(
+        "_file",
+        "_block",
         text.trim(text.strip_cdata(_as_js_text(F.col("name")))).alias("name"),
         text.strip_cdata(_as_js_text(F.col("description"))).alias("raw"),
         text.parse_coordinates(F.col("Point.coordinates")).alias("at"),
         bag.tidy(fields).alias("bag"),
     ).where(F.col("at").isNotNull() & (F.col("name") != ""))
-    return cleaned.select(
-        F.col("place_in_file").alias("idx"),
+    if category:
+        labelled = cleaned.withColumn("label", F.lit(category))
+    else:
+        folders = kml_folders(spark, path).withColumnsRenamed({"file": "_file", "folder": "label"})
+        labelled = cleaned.join(folders, "_file", "left").fillna("Uncategorized", ["label"])
+    return with_index(labelled).select(
+        "idx",
         "name",
-        F.lit(label).alias("category"),
+        F.col("label").alias("category"),
         text.blank_to_null(bag.description(raw, F.col("bag"))).alias("description"),
         F.lit(None).cast("string").alias("photo_url"),
         bag.address(F.col("bag")).alias("address"),

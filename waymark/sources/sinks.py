@@ -6,6 +6,7 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -90,21 +91,57 @@ def schema_drift(spark: SparkSession, schemas: dict[str, StructType], path: str)
     return sorted(t for t in saved.keys() | schemas.keys() if saved.get(t) != schemas.get(t))
 
 
+def digest(df: DataFrame) -> dict[str, str]:
+    """Numbers that tell the rows of a table, whatever their order: count, and sum and xor of two hashes of each row, columns by name."""
+    cells = [c for name in sorted(df.columns) for c in (F.col(name), F.col(name).isNull())]  # hashes pass over nulls
+    hashes = {"one": F.xxhash64(F.lit(1), *cells), "two": F.xxhash64(F.lit(2), *cells)}
+    sums = [F.sum(h.cast("decimal(38,0)")).alias(f"{n}_sum") for n, h in hashes.items()]
+    row = df.agg(F.count("*").alias("rows"), *sums, *[F.bit_xor(h).alias(f"{n}_xor") for n, h in hashes.items()]).first()
+    return {name: str(value) for name, value in row.asDict().items()} | {"columns": ",".join(sorted(df.columns))}
+
+
+class BadCopy(ValueError):
+    """Rows that aren't those of the source."""
+
+
+def same_rows(name: str, df: DataFrame, want: dict[str, str]) -> None:
+    """Ask that a table has the digest ``want``."""
+    if (have := digest(df)) != want:
+        raise BadCopy(f"{name} has {have['rows']} rows of digest {have['one_xor']}, not {want['rows']} of {want['one_xor']}")
+
+
 def backup(spark: SparkSession, tables: dict[str, str], folder: str) -> None:
-    """Copy Parquet tables (name -> path) with their schemas."""
+    """Copy Parquet tables (name -> path) with their schemas and digests."""
     frames = {name: spark.read.parquet(path) for name, path in tables.items()}
     save_schemas(spark, {name: df.schema for name, df in frames.items()}, f"{folder}/_schemas")
     for name, df in frames.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    digests = json.dumps({name: digest(df) for name, df in frames.items()}, sort_keys=True)
+    spark.createDataFrame([(digests,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/_digests")
+
+
+def load_digests(spark: SparkSession, folder: str) -> dict[str, dict[str, str]]:
+    """The digests of a backup; none if it has no such file."""
+    if "_digests" not in folders_in(spark, folder):
+        return {}
+    return json.loads(spark.read.text(f"{folder}/_digests", wholetext=True).first()["value"])
 
 
 def restore(spark: SparkSession, folder: str, tables: dict[str, str], confirmed: bool = False) -> None:
-    """Replace tables by their backups. Asks to be told so, since present rows are lost."""
+    """Replace tables by their backups. Asks to be told so, since present rows are lost.
+
+    A backup whose rows aren't those of its digests replaces nothing; what was restored is compared too.
+    """
     if not confirmed:
         raise PermissionError("restoring replaces the tables: pass confirmed=True")
-    schemas = load_schemas(spark, f"{folder}/_schemas")
+    schemas, digests = load_schemas(spark, f"{folder}/_schemas"), load_digests(spark, folder)
+    saved = {name: spark.read.schema(schemas[name]).parquet(f"{folder}/{name}") for name in tables}
+    for name in tables.keys() & digests.keys():
+        same_rows(f"the backup of {name}", saved[name], digests[name])
     for name, path in tables.items():
-        replace_table(spark.read.schema(schemas[name]).parquet(f"{folder}/{name}"), path)
+        replace_table(saved[name], path)
+        if name in digests:
+            same_rows(name, spark.read.schema(schemas[name]).parquet(path), digests[name])
 
 
 def restore_schemas(spark: SparkSession, folder: str, tables: dict[str, str], confirmed: bool = False) -> None:
@@ -117,9 +154,11 @@ def restore_schemas(spark: SparkSession, folder: str, tables: dict[str, str], co
 
 
 def copy_database(spark: SparkSession, source: dict[str, str], target: dict[str, str]) -> None:
-    """Copy all tables to other places, one after the other; refuses to copy a table onto itself."""
+    """Copy all tables to other places, one after the other, and compare digests; refuses to copy a table onto itself."""
     same = [name for name in source if source[name].rstrip("/") == target.get(name, "").rstrip("/")]
     if same:
         raise ValueError(f"source and target are the same: {', '.join(sorted(same))}")
     for name, path in source.items():
-        replace_table(spark.read.parquet(path), target[name])
+        rows = spark.read.parquet(path)
+        replace_table(rows, target[name])
+        same_rows(name, spark.read.parquet(target[name]), digest(rows))
