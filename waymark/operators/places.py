@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .viewport import point
 
@@ -26,8 +27,25 @@ def first_or(df: DataFrame, default: dict) -> DataFrame:
     return spare.join(rows.select(F.lit(1).alias("_found")), F.lit(True), "left").where("_found IS NULL").drop("_found").unionByName(rows.select(list(default)))
 
 
-def categories(places: DataFrame) -> DataFrame:
-    return places.select("category").distinct().orderBy("category")
+def categories(places: DataFrame, collation: str | None = None) -> DataFrame:
+    """Distinct categories in order: of their bytes, or of a collation such as UNICODE or UNICODE_CI.
+
+    Spellings that a collation takes for equal stay apart, as in a database with a deterministic one; ties go by bytes.
+    """
+    by = [F.collate("category", collation)] if collation else []
+    return places.select("category").distinct().orderBy(*by, "category")
+
+
+def distinct_by(places: DataFrame, collation: str, column: str = "category") -> DataFrame:
+    """One spelling, the least by bytes, of those that a collation takes for equal; in its order."""
+    found = places.where(F.col(column).isNotNull()).groupBy(F.collate(column, collation).alias("_key")).agg(F.min(column).alias(column))
+    return found.orderBy("_key").select(column)
+
+
+def numbered_labels(rows: DataFrame, column: str, collation: str = "UNICODE") -> DataFrame:
+    """Distinct labels and their place, from 1, in the order of a collation. Labels must be few: they are numbered in one task."""
+    by = W.orderBy(F.collate(column, collation), column)
+    return rows.select(column).distinct().withColumn("place", F.row_number().over(by).cast("long"))
 
 
 def category_list(places: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bag, text
-from .operators import integrity, places as P, upsert, users as U, viewport as V
+from .operators import clusters as C, integrity, places as P, upsert, users as U, viewport as V
 from .plans import imports, migrations
 from .schemas import TABLES
 from .sources import derived as D
@@ -193,6 +193,56 @@ def cluster_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.clusters(D.places(spark, sf_dir), 2).where("point_count IS NULL").agg(F.count("*").alias("n"))
 
 
+def radius_clusters_sql(first: int, last: int) -> str:
+    """The sweeps of all levels: nine steps each, as tables of their own, with leaders sought among all."""
+    tables = [
+        f"""n{first + 1} AS MATERIALIZED (SELECT id, {first + 1} AS zoom, 1 AS n, CAST(floor((lng + 180) / 360 * 2147483648) AS BIGINT) AS x,
+  CAST(floor((0.5 - ln(tan(radians(45 + greatest(-85.0511, least(85.0511, lat)) / 2))) / (2 * pi())) * 2147483648) AS BIGINT) AS y FROM places)"""
+    ]
+    done = []
+    for z in range(first, last - 1, -1):
+        r = C.radius_at(z)
+        side = C.isqrt(r * r // 2)
+        tables.append(f"c{z} AS MATERIALIZED (SELECT *, x // {side} AS cx, y // {side} AS cy, (x // {side} % 3) * 3 + y // {side} % 3 AS colour FROM n{z + 1})")
+        close = f"(p.x - l.x) * (p.x - l.x) + (p.y - l.y) * (p.y - l.y) <= {r * r}"
+        before = []
+        for k in range(C.COLOURS):
+            free = f" AND NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(before)}) l WHERE {close})" if before else ""
+            lead = "arg_min(struct_pack(id := id, n := n, x := x, y := y), (-n, id))"
+            tables.append(f"l{z}_{k} AS MATERIALIZED (SELECT {k} AS colour, l.* FROM (SELECT {lead} AS l FROM c{z} p WHERE colour = {k}{free} GROUP BY cx, cy))")
+            before.append(f"SELECT * FROM l{z}_{k}")
+        tables += [
+            f"l{z} AS MATERIALIZED ({' UNION ALL '.join(before)})",
+            f"t{z} AS MATERIALIZED (SELECT p.id, p.zoom, p.n, p.x, p.y, arg_min(l.id, (l.colour, -l.n, l.id)) AS leader FROM c{z} p JOIN l{z} l ON {close} GROUP BY ALL)",
+            f"g{z} AS MATERIALIZED (SELECT leader, '{z}:' || leader AS id, sum(n) AS n, sum(n * x) // sum(n) AS x, sum(n * y) // sum(n) AS y FROM t{z} GROUP BY leader HAVING count(*) > 1 AND sum(n) >= 3)",
+            f"n{z} AS MATERIALIZED (SELECT id, {z} AS zoom, n, x, y FROM g{z} UNION ALL SELECT id, zoom, n, x, y FROM t{z} WHERE leader NOT IN (SELECT leader FROM g{z}))",
+        ]
+        done.append(f"SELECT t.id, t.zoom, t.n, t.x, t.y, g.id AS parent_id FROM t{z} t JOIN g{z} g ON g.leader = t.leader")
+    done.append(f"SELECT id, zoom, n, x, y, NULL FROM n{last}")
+    rows = " UNION ALL ".join(done)
+    return with_(D.PLACES_SQL, *tables) + f"SELECT id, CAST(zoom AS INTEGER) AS zoom, CAST(n AS BIGINT) AS n, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, parent_id FROM ({rows})"
+
+
+@query("radius_clusters", radius_clusters_sql(10, 0))
+def radius_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All levels at which the map clusters, as one tree."""
+    return C.cluster_tree(D.places(spark, sf_dir))
+
+
+@query(
+    "category_order",
+    """SELECT label, row_number() OVER (ORDER BY lower(strip_accents(label)), strip_accents(label) <> label, label DESC) AS place FROM (
+  SELECT DISTINCT CASE c_custkey % 4 WHEN 0 THEN c_mktsegment WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN c_mktsegment[1] || lower(c_mktsegment[2:])
+    ELSE replace(lower(c_mktsegment), 'u', 'ü') END AS label FROM customer)""",
+)
+def category_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories in four spellings, numbered in the order of the Unicode collation: accents after letters, upper case after lower."""
+    segment, key = F.col("c_mktsegment"), F.col("c_custkey")
+    spelt = F.when(key % 4 == 0, segment).when(key % 4 == 1, F.lower(segment)).when(key % 4 == 2, F.initcap(segment))
+    spelt = spelt.otherwise(F.replace(F.lower(segment), F.lit("u"), F.lit("ü")))
+    return P.numbered_labels(D.table(spark, sf_dir, "customer").select(spelt.alias("label")), "label")
+
+
 # --- users ------------------------------------------------------------------------------
 
 FOLD_SQL = """
