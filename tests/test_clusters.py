@@ -45,8 +45,9 @@ def town(rng, n, lng, lat, spread):
     return [(lng + rng.gauss(0, spread), lat + rng.gauss(0, spread)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed,first,last", [(1, 10, 7), (2, 4, 2)])
-def test_equals_a_sweep_node_by_node(spark, seed, first, last):
+@pytest.mark.parametrize("seed,first,last,few", [(1, 10, 7, 0), (2, 4, 2, 0), (3, 10, 0, 250), (4, 10, 0, 50_000)])
+def test_equals_a_sweep_node_by_node(spark, monkeypatch, seed, first, last, few):
+    monkeypatch.setattr(C, "FEW", few)  # from none to all levels in one task
     rng = random.Random(seed)
     at = town(rng, 150, 13.4, 52.5, 0.03) + town(rng, 80, -0.1, 51.5, 0.2) + town(rng, 60, 179.99, -89.0, 0.02)
     at += [(rng.uniform(-180, 180), rng.uniform(-85, 85)) for _ in range(60)] + [(13.4, 52.5)] * 5

@@ -8,15 +8,19 @@ The order is one that cells can be swept in at once: the plane is cut into cells
 the cells are dealt to nine colours, so that two cells of a colour are farther apart than the radius. Nodes go by colour,
 then by points (most first), then by id. So of each cell of a colour the first free node is its one leader: an aggregate by cell, which
 is combined before it is shuffled however many places a cell has, and a join with the leaders of nearby cells. A level takes nine such
-steps, whatever the data.
+steps, whatever the data. From the level on at which FEW nodes are left, which low zooms always come to, as there are few cells, one task sweeps
+them node by node in the same order.
 
 Coordinates are whole numbers, 2^31 to the world's width, so that means and distances are exact and reruns agree.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from math import isqrt
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ WORLD_BITS = 31
 COLOURS = 9
 #: Cells that a node's radius may reach, either way.
 REACH = 2
+#: So many nodes are swept by one task.
+FEW = 50_000
 
 
 def radius_at(zoom: int) -> int:
@@ -102,6 +108,64 @@ def level(nodes: DataFrame, zoom: int) -> tuple[DataFrame, DataFrame]:
     return made.select(own).unionByName(stay), placed.where("parent_id IS NOT NULL").select(*own, "parent_id")
 
 
+def sweep(nodes: dict[str, tuple], zoom: int) -> tuple[dict[str, tuple], list[tuple]]:
+    """The same, node by node, for a few: {id: (zoom, n, x, y)} to those of the level, and rows of the taken ones."""
+    radius = radius_at(zoom)
+    side = isqrt(radius * radius // 2)
+    cells: dict[tuple[int, int], list[str]] = defaultdict(list)
+    for i, (_, _, x, y) in nodes.items():
+        cells[x // side, y // side].append(i)
+    order = sorted(nodes, key=lambda i: ((nodes[i][2] // side % 3) * 3 + nodes[i][3] // side % 3, -nodes[i][1], i))
+    near = range(-REACH, REACH + 1)
+    done: set[str] = set()
+    left, taken = {}, []
+    for lead in order:
+        if lead in done:
+            continue
+        _, _, x, y = nodes[lead]
+        group = []
+        for dx in near:
+            for dy in near:
+                cell = (x // side + dx, y // side + dy)
+                close = [i for i in cells.get(cell, ()) if (nodes[i][2] - x) ** 2 + (nodes[i][3] - y) ** 2 <= radius * radius]
+                if close:
+                    group += close
+                    cells[cell] = [i for i in cells[cell] if i not in set(close)]
+        done.update(group)
+        total = sum(nodes[i][1] for i in group)
+        if len(group) > 1 and total >= LEAST_POINTS:
+            name = f"{zoom}:{lead}"
+            left[name] = (zoom, total, *(sum(nodes[i][1] * nodes[i][c] for i in group) // total for c in (2, 3)))
+            taken += [(i, *nodes[i], name) for i in group]
+        else:
+            left |= {i: nodes[i] for i in group}
+    return left, taken
+
+
+TREE = "id string, zoom int, n bigint, x bigint, y bigint, parent_id string"
+
+
+def sweeper(first: int, last: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All nodes of one task, a few, through several levels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes = {}
+        for batch in batches:
+            for i, *rest in zip(*(batch.column(c).to_pylist() for c in ("id", "zoom", "n", "x", "y"))):
+                nodes[i] = tuple(rest)
+        rows: list[tuple] = []
+        for zoom in range(first, last - 1, -1):
+            nodes, taken = sweep(nodes, zoom)
+            rows += taken
+        rows += [(i, *v, None) for i, v in nodes.items()]
+        names = ["id", "zoom", "n", "x", "y", "parent_id"]
+        types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return run
+
+
 def cluster_tree(places: DataFrame, first: int = LAST_ZOOM, last: int = 0) -> DataFrame:
     """All nodes: id, zoom at which it was made (places: first + 1), n (places in it), x, y, parent_id (null at the top).
 
@@ -110,10 +174,14 @@ def cluster_tree(places: DataFrame, first: int = LAST_ZOOM, last: int = 0) -> Da
     now = _kept(projected(places.where("id IS NOT NULL")).withColumn("zoom", F.lit(first + 1)).select("id", "zoom", "n", "x", "y"), "nodes")
     out: DataFrame | None = None
     for zoom in range(first, last - 1, -1):
+        if now.limit(FEW + 1).count() <= FEW:
+            top = now.coalesce(1).mapInArrow(sweeper(zoom, last), TREE)
+            break
         above, taken = level(now, zoom)
         now = _kept(above, "level")
         out = taken if out is None else out.unionByName(taken)
-    top = now.withColumn("parent_id", F.lit(None).cast("string"))
+    else:
+        top = now.withColumn("parent_id", F.lit(None).cast("string"))
     return top if out is None else out.unionByName(top)
 
 
