@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -228,3 +229,35 @@ def test_items_without_id(spark):
     docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, "x y")], "doc_id bigint, text string")
     assert [(r.doc_id, r.item_id, r.edits) for r in D.find_leaks(docs, items).collect()] == [(1, 1, 0), (2, None, 0)]
     assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [3]
+
+
+def measured(call):
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def one_group(texts):
+    return next(groups(pa.array(texts), 1 << 26))[2]
+
+
+def test_near_equal_items_and_repeated_words_take_bounded_memory(monkeypatch):
+    """Items of one template share their buckets, and a repeated word lays a window at every place."""
+    rng = random.Random(8)
+    template = "Compute the sum of the numbers {} and {} and give the result as a single number without any further words"
+    say = lambda: template.format(rng.randrange(1000), rng.randrange(1000))
+    index = D.build_index([(k, say()) for k in range(400)])
+    texts = one_group([say() for _ in range(60)] + ["nothing of the kind is said here at all"])
+    rows, peak = measured(lambda: D.leaks_in(texts, index))
+    assert {(t, k) for t, k, *_ in rows.tolist()} == {(t, k) for t in range(60) for k in range(400)}
+    assert peak < 100 << 20
+    monkeypatch.setattr(D, "CANDIDATES", 5000)
+    assert (D.leaks_in(texts, index) == rows).all()  # in many slices
+    some = D.leaks_in(texts, index, any_item=True)
+    assert set(some[:, 0].tolist()) == set(range(60)) and len(some) < len(rows) / 2
+    monkeypatch.undo()
+    index = D.build_index([(1, "a " * 12)])
+    rows, peak = measured(lambda: D.leaks_in(one_group(["b " + "a " * 60_000]), index))
+    assert rows.tolist() == [[0, 0, 0, 1, 13]] and peak < 100 << 20

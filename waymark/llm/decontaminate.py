@@ -63,6 +63,8 @@ SAMPLED = 2
 SEARCHED_BYTES = 1 << 22
 #: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
 WINDOWS, CELLS = 512, 1 << 20
+#: Bucket entries that windows may meet at once, over all repetitions.
+CANDIDATES = 1 << 20
 #: Items go to the executors in blocks of about so many bytes of text.
 BLOCK_BYTES = 4_000_000
 
@@ -121,6 +123,8 @@ class Index:
     bucket_key: np.ndarray
     bucket_item: np.ndarray
     bucket_place: np.ndarray
+    #: Entries of the fullest bucket.
+    fullest: int
 
 
 def size_class(size: np.ndarray) -> np.ndarray:
@@ -223,6 +227,7 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
             where.append(at[inside])
     keys = np.concatenate(keys) if keys else np.zeros(0, U64)
     by = np.argsort(keys, kind="stable")
+    fullest = int(np.unique(keys, return_counts=True)[1].max()) if len(keys) else 0
     return Index(
         np.array([order[k][0] for k in good], object),  # None where the item has no id
         size,
@@ -235,6 +240,7 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
         keys[by],
         np.concatenate(whose)[by] if whose else np.zeros(0, np.int64),
         np.concatenate(where)[by] if where else np.zeros(0, np.int64),
+        fullest,
     )
 
 
@@ -256,20 +262,43 @@ def windows_of(words: Words, index: Index) -> tuple[np.ndarray, np.ndarray, np.n
     return words.text_of()[place], place, kind
 
 
+def slices_of(words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray) -> Iterator[np.ndarray]:
+    """The windows in runs that meet about CANDIDATES bucket entries: near-equal items share buckets, and each window meets them all."""
+    if len(text) * REPETITIONS * index.fullest <= CANDIDATES:
+        yield np.arange(len(text))
+        return
+    met = np.zeros(len(text), np.int64)
+    for one in np.unique(kind).tolist():
+        mine = np.flatnonzero(kind == one)
+        for key, inside in bucket_keys(words.hash, place[mine], words.bounds[text[mine]], words.bounds[text[mine] + 1], one):
+            entries = np.searchsorted(index.bucket_key, key, "right") - np.searchsorted(index.bucket_key, key, "left")
+            met[mine] += np.where(inside, entries, 0)
+    run = np.cumsum(met) // CANDIDATES
+    yield from np.split(np.arange(len(text)), np.flatnonzero(np.diff(run)) + 1)
+
+
 def candidates_of(
     words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, first word of the item's copy if nothing was edited before) of the items that share a bucket with a window."""
-    found = [np.zeros((0, 3), np.int64)]
+    reach = int(index.size.max())  # a copy may begin so many words ahead of the first word
+    n_items, n_starts = len(index.size), len(words.hash) + reach + 1
+    least = int(text.min()) if len(text) else 0
+    if (int(text.max()) - least + 1 if len(text) else 1) * n_items * n_starts >= 1 << 63:  # too many for one number: in halves
+        half = len(text) // 2
+        parts = [candidates_of(words, index, text[c], place[c], kind[c]) for c in (slice(half), slice(half, None))]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+    found = np.zeros(0, np.int64)
     for one in np.unique(kind).tolist():
         t, p = text[kind == one], place[kind == one]
         for key, inside in bucket_keys(words.hash, p, words.bounds[t], words.bounds[t + 1], one):
             row, bucket = matches(index.bucket_key, key[inside])
             window = np.flatnonzero(inside)[row]
-            item = index.bucket_item[bucket]
-            found.append(np.stack((t[window], item, p[window] - index.bucket_place[bucket]), 1))
-        found = [np.unique(np.concatenate(found), axis=0)]
-    return tuple(found[0].T)
+            start = p[window] - index.bucket_place[bucket] + reach
+            found = np.union1d(found, ((t[window] - least) * n_items + index.bucket_item[bucket]) * n_starts + start)
+    of, start = np.divmod(found, n_starts)
+    t, item = np.divmod(of, n_items)
+    return t + least, item, start - reach
 
 
 def regions_of(
@@ -353,13 +382,46 @@ def whole_leaks(words: Words, index: Index) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def leaks_in(texts: Texts, index: Index) -> np.ndarray:
-    """Rows (text, item, edits, first word, word after the last), one per text and item."""
+def leaks_in(texts: Texts, index: Index, any_item: bool = False) -> np.ndarray:
+    """Rows (text, item, edits, first word, word after the last), one per text and item; any_item: some of them, for every text that has any."""
     words = plain_words(texts)
-    text, item, begin, end = regions_of(words, index, *candidates_of(words, index, *windows_of(words, index)))
+    found = [whole_leaks(words, index)]
+    done = np.zeros(texts.n, bool)
+    windows = windows_of(words, index)
+    for run in slices_of(words, index, *windows):
+        if any_item:
+            done[found[-1][:, 0]] = True
+            run = run[~done[windows[0][run]]]
+        for rows in verified(words, index, *regions_of(words, index, *candidates_of(words, index, *(w[run] for w in windows))), done if any_item else None):
+            found.append(rows)
+            if any_item:
+                done[rows[:, 0]] = True
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 4], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    return rows[fresh]
+
+
+def verified(
+    words: Words, index: Index, text: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray, done: np.ndarray | None
+) -> Iterator[np.ndarray]:
+    """Rows of ``leaks_in`` of the regions that hold a leak, a few regions at a time.
+
+    Where ``done`` is given, of each text one region is looked at, then two, then four; texts marked in it meanwhile are left out.
+    """
+    if done is not None and len(text):
+        nth = np.arange(len(text)) - np.searchsorted(text, text)
+        wave = np.frexp(nth + 1)[1]
+        for n in range(1, int(wave.max()) + 1):
+            now = (wave == n) & ~done[text]
+            for rows in verified(words, index, text[now], item[now], begin[now], end[now], None):
+                done[rows[:, 0]] = True
+                yield rows
+        return
     by = np.argsort(begin - end, kind="stable")
     text, item, begin, end = text[by], item[by], begin[by], end[by]
-    found, a = [whole_leaks(words, index)], 0
+    a = 0
     while a < len(text):
         b = a + min(max(CELLS // (2 * int(end[a] - begin[a])), 1), WINDOWS)
         t, k, s, e = text[a:b], item[a:b], begin[a:b], end[a:b]
@@ -370,12 +432,7 @@ def leaks_in(texts: Texts, index: Index) -> np.ndarray:
             edits, first, stop = edit_distances(words, index, k, s, e)
             good = edits <= index.edits[k]
             base = words.bounds[t]
-            found.append(np.stack((t, k, edits, first - base, stop - base), 1)[good])
-    rows = np.concatenate(found)
-    rows = rows[np.lexsort((rows[:, 3], rows[:, 4], rows[:, 2], rows[:, 1], rows[:, 0]))]
-    fresh = np.ones(len(rows), bool)
-    fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
-    return rows[fresh]
+            yield np.stack((t, k, edits, first - base, stop - base), 1)[good]
 
 
 def item_blocks(items: DataFrame) -> list[list[tuple[int | None, str | None]]]:
@@ -446,7 +503,7 @@ def dropper(block: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for at, _, texts in groups(batch.column("text"), SEARCHED_BYTES) if index else ():
-                keep[at + leaks_in(texts, index)[:, 0]] = False
+                keep[at + leaks_in(texts, index, any_item=True)[:, 0]] = False
             yield batch.filter(pa.array(keep))
 
     return run
