@@ -99,6 +99,29 @@ def kml_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_kml_places(spark, path).select("category", "name", "description", "lng", "lat")
 
 
+@query(
+    "kml_tree",
+    with_(STOPS_SQL)
+    + """SELECT CAST(row_number() OVER (ORDER BY key // 500, key % 2 = 0, key) - 1 AS BIGINT) AS idx, 'Depots' AS category, name,
+  CASE WHEN key % 3 = 0 THEN 'City ' || key END AS address, lng, lat FROM stops WHERE lng BETWEEN -180 AND 180""",
+)
+def kml_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents read as trees: stops of another tag in a folder inside the folder, and what lies inside of a stop isn't one."""
+    path, key = scratch(spark, "kml"), F.col("key")
+    at = F.format_string("<Point><coordinates>%s,%s,0</coordinates></Point>", F.col("lng").cast("string"), F.col("lat").cast("string"))
+    city = F.format_string('<ExtendedData><Data name="Location City"><value>City %d</value></Data></ExtendedData>', "key")
+    body = F.concat(F.lit("<name> "), "name", F.lit(" </name>"), at, F.when(key % 3 == 0, city).otherwise(""))
+    within = F.concat(F.lit("<Stop>"), body, F.lit("<Inner><name>x</name><Point><coordinates>1,1</coordinates></Point></Inner></Stop>"))
+    mark = F.when(key % 2 == 0, F.concat(F.lit("<Placemark>"), body, F.lit("</Placemark>"))).otherwise(within)
+    listed = lambda odd: F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.when(key % 2 == odd, F.struct("key", mark.alias("mark"))))), lambda r: r["mark"]), "\n"
+    )
+    head = "<kml><Document><Folder><name>Depots</name>\n"
+    folder = F.concat(F.lit(head), F.lit("<Folder>"), listed(1), F.lit("</Folder>"), listed(0), F.lit("\n</Folder></Document></kml>"))
+    stops(spark, sf_dir).groupBy(part_of_keys()).agg(folder.alias("value")).write.partitionBy("part").text(path)
+    return files.read_kml_tree(spark, path).select("idx", "category", "name", "address", "lng", "lat")
+
+
 @query(
     "sql_folder",
     "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || '__' || lower(replace(n_name, ' ', '_')) || '.sql' AS filename,"

@@ -113,29 +113,38 @@ def read_kml_places(spark: SparkSession, path: str, category: str | None = None)
 
     Placemarks without a readable point, in range, or without a name are dropped, as the import does; idx numbers the others.
     """
-    marks = spark.read.format("xml").option("rowTag", "Placemark").schema(KML).load(path)
+    marks = located(spark.read.format("xml").option("rowTag", "Placemark").schema(KML).load(path))
     fields = F.transform(
         F.coalesce("ExtendedData.Data", F.array().cast("array<struct<_name:string,value:string>>")),
         lambda d: F.struct(d["_name"].alias("name"), d["value"].alias("value")),
     )
-    raw = F.col("raw")
-    cleaned = located(marks).select(
-        "_file",
-        "_block",
-        text.trim(text.strip_cdata(_as_js_text(F.col("name")))).alias("name"),
-        text.strip_cdata(_as_js_text(F.col("description"))).alias("raw"),
-        text.parse_coordinates(F.col("Point.coordinates")).alias("at"),
-        bag.tidy(fields).alias("bag"),
-    ).where(F.col("at").isNotNull() & (F.col("name") != ""))
     if category:
-        labelled = cleaned.withColumn("label", F.lit(category))
+        marks = marks.withColumn("label", F.lit(category))
     else:
         folders = kml_folders(spark, path).withColumnsRenamed({"file": "_file", "folder": "label"})
-        labelled = cleaned.join(folders, "_file", "left").fillna("Uncategorized", ["label"])
-    return with_index(labelled).select(
-        "idx",
-        "name",
+        marks = marks.join(folders, "_file", "left").fillna("Uncategorized", ["label"])
+    cleaned = _cleaned_marks(marks, F.col("name"), F.col("description"), F.col("Point.coordinates"), fields, ["_file", "_block"])
+    return with_index(cleaned).select("idx", *STAGED)
+
+
+STAGED = ["name", "category", "description", "photo_url", "address", "website", "hours", "lng", "lat"]
+
+
+def _cleaned_marks(marks: DataFrame, name: Column, description: Column, coordinates: Column, fields: Column, place: list[str]) -> DataFrame:
+    """Staged columns, and those of ``place``, of the marks with a name and a readable point. marks: with label."""
+    raw = F.col("raw")
+    cleaned = marks.select(
+        *place,
         F.col("label").alias("category"),
+        text.trim(text.strip_cdata(_as_js_text(name))).alias("name"),
+        text.strip_cdata(_as_js_text(description)).alias("raw"),
+        text.parse_coordinates(coordinates).alias("at"),
+        bag.tidy(fields).alias("bag"),
+    ).where(F.col("at").isNotNull() & (F.col("name") != ""))
+    return cleaned.select(
+        *place,
+        "name",
+        "category",
         text.blank_to_null(bag.description(raw, F.col("bag"))).alias("description"),
         F.lit(None).cast("string").alias("photo_url"),
         bag.address(F.col("bag")).alias("address"),
@@ -146,6 +155,53 @@ def read_kml_places(spark: SparkSession, path: str, category: str | None = None)
     )
 
 
+#: Levels of elements that a document may have.
+MOST_LEVELS = 200
+
+
+def kml_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """file, place, node, label: elements of any tag and depth that have a Point and a name, in documents read as trees.
+
+    What lies inside of such an element isn't looked at. place orders the elements of a file: by tag within an element, then as they stand.
+    label is the name of the document's one folder, or "Uncategorized". A document is one value, so it is parsed in one task;
+    from then on each level's elements are rows. The levels are written to the shared folder in turn.
+    """
+    options = {"rowTag": "kml", "singleVariantColumn": "node", "locale": "ar-EG"}  # by whose separators "1,2,0" is no number, but a string
+    docs = spark.read.format("xml").options(**options).load(path)
+    folder = F.nullif(F.try_variant_get("node", "$.Document.Folder.name", "string"), F.lit(""))
+    now = docs.select(F.col("_metadata.file_path").alias("file"), F.lit("").alias("place"), "node", F.coalesce(folder, F.lit("Uncategorized")).alias("label"))
+    has = lambda key: F.schema_of_variant(F.try_variant_get("node", f"$.{key}", "variant")).isNotNull()
+    is_mark = F.schema_of_variant("node").startswith("OBJECT") & has("Point") & has("name")
+    found: DataFrame | None = None
+    for _ in range(MOST_LEVELS):
+        level = scratch(spark, "level")
+        now.withColumn("mark", F.coalesce(is_mark, F.lit(False))).write.parquet(level)
+        kept = spark.read.parquet(level)
+        marks = kept.where("mark").drop("mark")
+        found = marks if found is None else found.unionByName(marks)
+        inner = kept.where(~F.col("mark") & F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)"))
+        if inner.isEmpty():
+            return found
+        children = inner.withColumnRenamed("node", "above").lateralJoin(spark.tvf.variant_explode(F.col("above").outer()))
+        now = children.select("file", F.concat("place", F.lpad(F.col("pos").cast("string"), 9, "0")).alias("place"), F.col("value").alias("node"), "label")
+    raise BadFile(f"{path} has more than {MOST_LEVELS} levels of elements")
+
+
+def read_kml_tree(spark: SparkSession, path: str, category: str | None = None) -> DataFrame:
+    """The rows of ``read_kml_places`` for elements of any tag with a point and a name, see ``kml_nodes``."""
+    nodes = kml_nodes(spark, path)
+    if category:
+        nodes = nodes.withColumn("label", F.lit(category))
+    get = lambda at, kind: F.try_variant_get("node", f"$.{at}", kind)
+    one = "struct<_name:string,value:string>"
+    data = F.coalesce(get("ExtendedData.Data", f"array<{one}>"), F.array_compact(F.array(get("ExtendedData.Data", one))))
+    fields = F.transform(data, lambda d: F.struct(d["_name"].alias("name"), d["value"].alias("value")))
+    string = lambda at: F.coalesce(get(at, "string"), F.lit(""))  # noqa: E731  an element with attributes is no string
+    cleaned = _cleaned_marks(nodes, string("name"), string("description"), get("Point.coordinates", "string"), fields, ["file", "place"])
+    placed = numbered(cleaned.withColumn("order", F.struct("file", "place")), "order")
+    return placed.select(F.col("idx").cast("bigint").alias("idx"), *STAGED)
+
+
 def numbered(rows: DataFrame, order: str) -> DataFrame:
     """idx from 0 in the order of a column, without one task for all rows: counts per range, then offsets.
 
