@@ -300,3 +300,24 @@ def test_rows_that_cant_be_written_are_told(spark, tmp_path):
     outcome = imports.run_import(staged, spark.read.parquet(table), table)
     assert (outcome.inserted, outcome.failed, outcome.shown) == (2, 1, (1,))
     assert {r.name for r in spark.read.parquet(table).collect()} == {"O", "n0", "n2"}
+
+
+def test_boxes_of_a_table_are_those_of_single_requests(spark):
+    boxes = ["1,2,3,4", " 1 ,2,3e0,-4", ",,,", "1,2,3", "1,2,3,4,5", "1,2,3,x", "", None, "0x1F,0b11,0o17,.5", "1_0,2,3,4", "+1.,-.5,Infinity,-Infinity", "inf,1,2,3", "0x,1,2,3", "1e400,0,0,0"]
+    zooms = ["7", "5.9", "6", "x", "", None, " 6 ", "1e1"]
+    asked = [(b, z) for b in boxes for z in zooms]
+    rows = V.understood(spark.createDataFrame(asked, "box string, zoom_text string")).collect()
+    for r in rows:
+        try:
+            b = V.parse_box(r.box)
+            zoom = V.parse_zoom(r.zoom_text)
+            want = (200, b.west, b.south, b.east, b.north, zoom, V.limit_for(zoom))
+        except V.BadRequest:
+            want = (400, *[None] * 6)
+        assert tuple(r)[2:] == want, r
+
+
+def test_providers_of_requests(spark):
+    asked = spark.createDataFrame([("opentopomap",), ("gone",), (None,)], "provider_id string")
+    got = [(r.provider_id, r.provider, r.provider_max_zoom) for r in U.with_provider(asked).collect()]
+    assert sorted(got, key=str) == sorted([("opentopomap", "opentopomap", 17), ("gone", U.DEFAULT_PROVIDER, 19), (None, U.DEFAULT_PROVIDER, 19)], key=str)

@@ -66,6 +66,26 @@ def constraints(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, kind string, definition string")
 
 
+def constraint_report(places: DataFrame, users: DataFrame, preferences: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The declared constraints with n, the number of rows (of keys: of keys that are there several times) that break each."""
+    from ..schemas import PLACE_KEY, TIERS
+
+    broken = {
+        ("places", "key"): duplicate_keys(places, ["id"]),
+        ("places", "unique"): duplicate_keys(places, PLACE_KEY),
+        ("users", "key"): duplicate_keys(users, ["id"]),
+        ("users", "check"): outside(users, "tier", TIERS),
+        ("preferences", "key"): duplicate_keys(preferences, ["user_id"]),
+        ("preferences", "reference"): orphans(preferences, users, "user_id", "id"),
+        ("ledger", "key"): duplicate_keys(ledger, ["filename"]),
+    }
+    counted = [df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), F.lit(k).alias("kind"), "n") for (t, k), df in broken.items()]
+    out = counted[0]
+    for more in counted[1:]:
+        out = out.unionByName(more)
+    return constraints(places.sparkSession).join(out, ["table_name", "kind"])
+
+
 def missing_columns(expected: DataFrame, present: DataFrame) -> DataFrame:
     key = ["table_name", "column_name"]
     return expected.join(present.select(key), key, "left_anti")
@@ -90,6 +110,21 @@ def enum_labels(types: DataFrame, labels: DataFrame, namespaces: DataFrame, name
     )
 
 
+#: Names that the database has for Spark's types.
+UDTS = {
+    "smallint": "int2", "int": "int4", "bigint": "int8", "float": "float4", "double": "float8", "boolean": "bool", "date": "date",
+    "timestamp": "timestamptz", "timestamp_ntz": "timestamp", "string": "text", "binary": "bytea",
+}
+
+
+def udt(data_type: str):
+    """The database's name of a column of Spark type names: an underscore goes before an array's."""
+    pairs = [F.lit(x) for pair in UDTS.items() for x in pair]
+    inner = F.regexp_replace(F.regexp_replace(data_type, r"^array<(.*)>$", "$1"), r"\(.*\)$", "")
+    name = F.coalesce(F.try_element_at(F.create_map(*pairs), inner), F.when(inner.startswith("decimal"), "numeric"), inner)
+    return F.when(F.startswith(F.col(data_type), F.lit("array<")), F.concat(F.lit("_"), name)).otherwise(name)
+
+
 def type_name(column: str):
     """The application's type of a database type; an underscore before a name is an array of it."""
     pairs = [F.lit(x) for mapped, names in TYPES.items() for name in names for x in (name, mapped)]

@@ -40,6 +40,14 @@ def get_provider(spark: SparkSession, id: str) -> DataFrame:
     return registry(spark).withColumn("rank", wanted).where("rank IS NOT NULL").orderBy("rank").limit(1).drop("rank")
 
 
+def with_provider(requests: DataFrame, id: str = "provider_id") -> DataFrame:
+    """Requests with the columns of their provider, or of the default one where the id is no provider's. The registry is broadcast."""
+    named = F.broadcast(registry(requests.sparkSession).select(*[F.col(c).alias(f"provider_{c}") for c in ("label", "kind", "tier", "max_zoom")], F.col("id").alias("_id")))
+    known = F.array(*[F.lit(p[0]) for p in PROVIDERS])
+    meant = F.when(F.array_contains(known, F.col(id)), F.col(id)).otherwise(DEFAULT_PROVIDER)
+    return requests.withColumn("provider", meant).join(named, F.col("provider") == F.col("_id")).drop("_id")
+
+
 def allowed(tier: Column) -> Column:
     """Provider ids by tier: any other tier than premium gets the free ones."""
     lists = [F.array(*map(F.lit, ids)) for ids in (FREE, EXTRAS)]

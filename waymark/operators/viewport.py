@@ -60,6 +60,27 @@ def parse_zoom(text: str | None) -> float:
         return 0.0
 
 
+def number(text: Column) -> Column:
+    """``_number`` of a column; null for what is no number."""
+    t = F.regexp_replace(text, r"^\s+|\s+$", "")
+    digits = F.substring(t, 3, 60)
+    out = F.when(t == "", 0.0).when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
+    for base, letters, digit in ((16, "xX", "0-9a-fA-F"), (8, "oO", "0-7"), (2, "bB", "01")):
+        out = out.when(t.rlike(f"^0[{letters}][{digit}]+$"), F.conv(digits, base, 10).cast("double"))
+    return out.when(t.rlike("^[+-]?Infinity$"), F.replace(t, F.lit("+"), F.lit("")).try_cast("double"))
+
+
+def understood(requests: DataFrame, box: str = "box", zoom: str = "zoom_text") -> DataFrame:
+    """Requests with status, west, south, east, north, zoom and most, the limit that follows; all null but the status where it is 400."""
+    parts = F.split(F.nullif(F.col(box), F.lit("")), ",")
+    sides = F.transform(parts, number)
+    good = F.coalesce((F.size(sides) == 4) & F.forall(sides, lambda x: x.isNotNull()), F.lit(False))
+    level = F.coalesce(number(F.coalesce(F.col(zoom), F.lit(""))), F.lit(0.0))
+    out = requests.withColumn("status", F.when(good, 200).otherwise(400))
+    named = {name: F.when(good, F.get(sides, F.lit(n))) for n, name in enumerate(("west", "south", "east", "north"))}
+    return out.withColumns(named | {"zoom": F.when(good, level), "most": F.when(good, F.when(level < FAR_ZOOM, FAR_LIMIT).otherwise(NEAR_LIMIT))})
+
+
 def limit_for(zoom: float) -> int:
     return FAR_LIMIT if zoom < FAR_ZOOM else NEAR_LIMIT
 

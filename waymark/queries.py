@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .functions import bag, text
 from .operators import clusters as C, integrity, places as P, upsert, users as U, viewport as V
 from .plans import imports, migrations
-from .schemas import TABLES
 from .sources import derived as D
 from .streaming.debounce import debounce_table
 
@@ -317,19 +316,46 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROVIDERS_SQL = "providers(id, label, kind, tier, max_zoom) AS (VALUES " + ", ".join(map(str, U.PROVIDERS)) + ")"
 
 
-@query("providers", with_(PROVIDERS_SQL) + "SELECT * FROM providers")
+def map_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a request for a basemap, some of which aren't registered."""
+    names = F.array(*[F.lit(p[0]) for p in U.PROVIDERS], F.lit("gone"), F.lit("none"))
+    asked = F.element_at(names, (F.col("event_id") * 7 % 15 + 1).cast("int"))
+    return D.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("user_id"), asked.alias("provider_id"))
+
+
+MAP_REQUESTS_SQL = f"requests AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, ([{sql_list([p[0] for p in U.PROVIDERS] + ['gone', 'none'])}])[event_id * 7 % 15 + 1] AS provider_id FROM events)"
+
+
+@query(
+    "providers",
+    with_(PROVIDERS_SQL, MAP_REQUESTS_SQL)
+    + "SELECT p.*, count(event_id) AS n FROM providers p LEFT JOIN requests ON provider_id = id GROUP BY ALL",
+)
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.registry(spark)
+    """The registry with the number of requests for each provider."""
+    asked = map_requests(spark, sf_dir).groupBy(F.col("provider_id").alias("id")).agg(F.count("*").alias("n"))
+    return U.registry(spark).join(asked, "id", "left").fillna(0, ["n"])
 
 
-@query("provider_fallback", with_(PROVIDERS_SQL) + f"SELECT * FROM providers WHERE id = '{U.DEFAULT_PROVIDER}'")
+@query(
+    "provider_fallback",
+    with_(PROVIDERS_SQL, MAP_REQUESTS_SQL)
+    + f"""SELECT event_id, p.id AS provider, p.label, p.max_zoom FROM requests r JOIN providers p
+  ON p.id = CASE WHEN r.provider_id IN (SELECT id FROM providers) THEN r.provider_id ELSE '{U.DEFAULT_PROVIDER}' END""",
+)
 def provider_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.get_provider(spark, "no-such-map")
+    found = U.with_provider(map_requests(spark, sf_dir))
+    return found.select("event_id", "provider", F.col("provider_label").alias("label"), F.col("provider_max_zoom").alias("max_zoom"))
 
 
-@query("providers_free", with_(PROVIDERS_SQL) + "SELECT * FROM providers WHERE tier = 'free'")
+@query(
+    "providers_free",
+    with_(PROVIDERS_SQL, MAP_REQUESTS_SQL) + "SELECT event_id, id, label FROM requests JOIN providers ON id = provider_id WHERE tier = 'free'",
+)
 def providers_free(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.registry(spark).where("tier = 'free'")
+    """Requests for the providers of the free tier."""
+    free = F.broadcast(U.registry(spark).where("tier = 'free'").select("id", "label"))
+    return map_requests(spark, sf_dir).join(free, F.col("provider_id") == F.col("id")).select("event_id", "id", "label")
 
 
 @query(
@@ -342,18 +368,27 @@ def locked_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.locked_providers(spark, D.users(spark, sf_dir).select("tier").distinct())
 
 
-@query("usable_providers", with_(PROVIDERS_SQL) + "SELECT * FROM providers WHERE tier = 'free'")
+@query(
+    "usable_providers",
+    with_(D.USERS_SQL, PROVIDERS_SQL, MAP_REQUESTS_SQL)
+    + """SELECT event_id, provider_id FROM requests r JOIN users u ON u.id = r.user_id
+WHERE provider_id IN (SELECT id FROM providers) AND (u.tier = 'premium' OR provider_id IN (SELECT id FROM providers WHERE tier = 'free'))""",
+)
 def usable_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.usable_providers(spark, "guest")
+    """Requests of users for providers that are registered and that their tier may use: two semi joins."""
+    tiers = D.users(spark, sf_dir).select(F.col("id").alias("user_id"), "tier")
+    allowed = U.registry(spark).select("id").crossJoin(tiers.select("tier").distinct()).where(F.array_contains(U.allowed(F.col("tier")), F.col("id")))
+    asked = map_requests(spark, sf_dir).join(tiers, "user_id").withColumnRenamed("provider_id", "id")
+    return asked.join(F.broadcast(allowed), ["id", "tier"], "left_semi").select("event_id", F.col("id").alias("provider_id"))
 
 
 @query(
     "allowed_providers",
-    f"SELECT 'premium' AS tier, unnest([{sql_list(U.FREE + U.EXTRAS)}]) AS id UNION ALL SELECT 'other', unnest([{sql_list(U.FREE)}])",
+    with_(D.USERS_SQL)
+    + f"SELECT id AS user_id, unnest(CASE WHEN tier = 'premium' THEN [{sql_list(U.FREE + U.EXTRAS)}] ELSE [{sql_list(U.FREE)}] END) AS provider FROM users",
 )
 def allowed_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiers = spark.createDataFrame([("premium",), ("other",)], "tier string")
-    return tiers.select("tier", F.explode(U.allowed(F.col("tier"))).alias("id"))
+    return D.users(spark, sf_dir).select(F.col("id").alias("user_id"), F.explode(U.allowed(F.col("tier"))).alias("provider"))
 
 
 def basemap_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -721,22 +756,37 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.report(D.places(spark, sf_dir), D.users(spark, sf_dir), folded(spark, sf_dir))
 
 
-@query("missing_columns", "SELECT * FROM (VALUES ('places', 'hours'), ('users', 'tier')) t(table_name, column_name)")
-def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = integrity.columns_of(TABLES, spark)
-    present = expected.where("NOT (table_name = 'places' AND column_name = 'hours')").where("NOT (table_name = 'users' AND column_name = 'tier')")
-    return integrity.missing_columns(expected, present).select("table_name", "column_name")
+GIVEN = ["customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"]
+
+
+def given_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of given tables, as their files have them."""
+    return integrity.columns_of({t: D.table(spark, sf_dir, t).schema for t in GIVEN}, spark)
+
+
+GIVEN_SQL = f"given AS (SELECT * FROM information_schema.columns WHERE table_name IN ({sql_list(GIVEN)}))"
 
 
 @query(
-    "column_lists",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}', '{','.join(f.name for f in s.fields)}')" for t, s in TABLES.items() if t != "ledger")
-    + ") t(table_name, columns)",
+    "missing_columns",
+    with_(GIVEN_SQL)
+    + """SELECT lower(n_name) AS table_name, column_name FROM nation, (SELECT DISTINCT column_name FROM given WHERE table_name = 'region') WHERE n_regionkey = 2
+UNION ALL SELECT 'region', 'r_area'""",
 )
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contract asks for more than there is: a column of region, and a table like it for each nation of a region."""
+    present = given_columns(spark, sf_dir)
+    own = present.where("table_name = 'region'").select("column_name")
+    nations = D.table(spark, sf_dir, "nation").where("n_regionkey = 2").select(F.lower("n_name").alias("table_name"))
+    area = spark.range(1).select(F.lit("region").alias("table_name"), F.lit("r_area").alias("column_name"))
+    expected = present.select("table_name", "column_name").union(nations.crossJoin(F.broadcast(own))).union(area)  # a row a column of a contract
+    return integrity.missing_columns(expected, present)
+
+
+@query("column_lists", with_(GIVEN_SQL) + "SELECT table_name, string_agg(column_name, ',' ORDER BY ordinal_position) AS columns FROM given GROUP BY table_name")
 def column_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = integrity.columns_of(TABLES, spark)
-    return integrity.column_lists(columns.where((F.col("table_name") != "ledger") & F.col("table_name").isin(list(TABLES))))
+    columns = given_columns(spark, sf_dir)
+    return integrity.column_lists(columns.where((F.col("table_name") != "ledger") & F.col("table_name").isin(GIVEN)))
 
 
 @query(
@@ -751,18 +801,16 @@ def enum_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.enum_labels(types, labels, spaces, "ASIA")
 
 
-_UDTS = [t for names in integrity.TYPES.values() for t in names] + ["_int4", "_text", "geometry"]
-
-
 @query(
     "type_names",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}', '{m}')" for m, names in integrity.TYPES.items() for t in names)
-    + ", ('_int4', 'Array<number>'), ('_text', 'Array<string>'), ('geometry', 'unknown')) t(udt, type_name)",
+    with_(GIVEN_SQL)
+    + """SELECT table_name, column_name, CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT') OR data_type LIKE 'DECIMAL%' THEN 'number'
+  WHEN data_type = 'BOOLEAN' THEN 'boolean' WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'DATE' OR data_type LIKE 'TIMESTAMP%' THEN 'Date'
+  WHEN data_type = 'FLOAT[]' THEN 'Array<number>' ELSE 'unknown' END AS type_name FROM given""",
 )
 def type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    udts = spark.createDataFrame([(t,) for t in _UDTS], "udt string")
-    return udts.select("udt", integrity.type_name("udt").alias("type_name"))
+    named = given_columns(spark, sf_dir).withColumn("udt", integrity.udt("data_type"))
+    return named.select("table_name", "column_name", integrity.type_name("udt").alias("type_name"))
 
 
 @query(

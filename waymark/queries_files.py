@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text
-from .operators import integrity, upsert, viewport as V
+from .operators import integrity, upsert, users as U, viewport as V
 from .plans import imports
 from .queries import FOLD_SQL, query, with_
-from .schemas import PLACES, PREFERENCES, TABLES
+from .schemas import PLACES, PREFERENCES
 from .sources import derived as D, dump, files, sinks
 from .sources.scratch import scratch
 from .streaming import preferences as live
@@ -124,15 +124,15 @@ def kml_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sql_folder",
-    "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || '__' || lower(replace(n_name, ' ', '_')) || '.sql' AS filename,"
-    " 'CREATE TABLE t' || n_nationkey || ' (id int);' || chr(10) || '-- ' || n_name AS sql FROM nation",
+    "SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') || '__' || lower(replace(s_name, '#', '_')) || '.sql' AS filename,"
+    " 'CREATE TABLE t' || s_suppkey || ' (id int);' || chr(10) || '-- ' || s_name || chr(10) AS sql FROM supplier",
 )
 def sql_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder of migrations, one a nation, and a file of another kind that isn't read."""
-    folder = scratch(spark, "migrations")
-    for r in D.table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect():
-        name = f"{r.n_nationkey:03d}__{r.n_name.lower().replace(' ', '_')}.sql"
-        sinks.write_file(spark, f"{folder}/{name}", f"CREATE TABLE t{r.n_nationkey} (id int);\n-- {r.n_name}")
+    """A folder of migrations, one a supplier, written by the tasks, and a file of another kind that isn't read."""
+    folder, key = scratch(spark, "migrations"), F.col("s_suppkey").cast("string")
+    name = F.concat(F.lpad(key, 6, "0"), F.lit("__"), F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))), F.lit(".sql"))
+    sql = F.concat(F.lit("CREATE TABLE t"), key, F.lit(" (id int);\n-- "), "s_name")
+    D.table(spark, sf_dir, "supplier").select(name.alias("filename"), sql.alias("value")).write.partitionBy("filename").text(folder)
     sinks.write_file(spark, f"{folder}/README.md", "not a migration")
     return files.read_sql_files(spark, folder)
 
@@ -209,13 +209,16 @@ def copy_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-@query("schema_artifact", "SELECT 'ledger' AS table_name UNION ALL SELECT 'places'")
+@query("schema_artifact", "SELECT table_name, count(*) - (table_name = 'part')::INT AS n_columns FROM information_schema.columns WHERE table_name IN ('nation', 'part') GROUP BY table_name")
 def schema_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables that have drifted from the saved schemas: one lost a column, one is new."""
+    """Given tables that have drifted from the saved schemas, with the columns that they have now: one is new, one lost a column."""
     path = scratch(spark, "schemas")
-    sinks.save_schemas(spark, {name: schema for name, schema in TABLES.items() if name != "ledger"}, path)
-    now = {**TABLES, "places": PLACES[:-1]}
-    return spark.createDataFrame([(t,) for t in sinks.schema_drift(spark, now, path)], "table_name string")
+    now = {name: D.table(spark, sf_dir, name).schema for name in ("customer", "part", "region", "supplier")}
+    sinks.save_schemas(spark, now, path)
+    now |= {"nation": D.table(spark, sf_dir, "nation").schema, "part": now["part"][:-1]}
+    drifted = sinks.schema_drift(spark, now, path)
+    columns = integrity.columns_of({t: now[t] for t in drifted}, spark)
+    return columns.groupBy("table_name").agg(F.count("*").alias("n_columns"))
 
 
 @query(
@@ -247,25 +250,28 @@ def feature_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "request_boxes",
-    """SELECT * FROM (VALUES
-  ('-10,20,30,40', '7', 200, -10.0::DOUBLE, 20.0::DOUBLE, 30.0::DOUBLE, 40.0::DOUBLE, 7.0::DOUBLE, 5000),
-  (' 1 ,2,3e0,-4', '5.9', 200, 1, 2, 3, -4, 5.9, 500), (',,,', 'x', 200, 0, 0, 0, 0, 0, 500),
-  ('1,2,3', '6', 400, NULL, NULL, NULL, NULL, NULL, NULL), ('1,2,3,x', '', 400, NULL, NULL, NULL, NULL, NULL, NULL),
-  ('', '9', 400, NULL, NULL, NULL, NULL, NULL, NULL), (NULL, NULL, 400, NULL, NULL, NULL, NULL, NULL, NULL))
-t(box, zoom_text, status, west, south, east, north, zoom, most)""",
+    """WITH asked AS (SELECT event_id, event_id % 8 AS kind, event_id % 5 AS z, event_id % 300 - 150 AS w, event_id % 100 - 50 AS s FROM events)
+SELECT event_id, CASE WHEN kind IN (0, 1, 2, 7) THEN 200 ELSE 400 END AS status,
+  CAST(CASE kind WHEN 0 THEN w WHEN 1 THEN w WHEN 2 THEN 0 WHEN 7 THEN 31 END AS DOUBLE) AS west,
+  CAST(CASE kind WHEN 0 THEN s WHEN 1 THEN s WHEN 2 THEN 0 WHEN 7 THEN 3 END AS DOUBLE) AS south,
+  CAST(CASE kind WHEN 0 THEN w + 20 WHEN 1 THEN w + 20 WHEN 2 THEN 0 WHEN 7 THEN 0.5 END AS DOUBLE) AS east,
+  CAST(CASE kind WHEN 0 THEN s + 10 WHEN 1 THEN s + 10 WHEN 2 THEN 0 WHEN 7 THEN 0.5 END AS DOUBLE) AS north,
+  CASE WHEN kind IN (0, 1, 2, 7) THEN CAST(CASE z WHEN 0 THEN 7 WHEN 1 THEN 5.9 ELSE 0 END AS DOUBLE) END AS zoom,
+  CASE WHEN kind IN (0, 1, 2, 7) THEN CASE z WHEN 0 THEN 5000 ELSE 500 END END AS most FROM asked""",
 )
 def request_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What requests are understood as: the box, the zoom and the limit that follows, or status 400."""
-    asked = [("-10,20,30,40", "7"), (" 1 ,2,3e0,-4", "5.9"), (",,,", "x"), ("1,2,3", "6"), ("1,2,3,x", ""), ("", "9"), (None, None)]
-    rows = []
-    for box, zoom in asked:
-        try:
-            b, z = V.parse_box(box), V.parse_zoom(zoom)
-            rows.append((box, zoom, 200, b.west, b.south, b.east, b.north, z, V.limit_for(z)))
-        except V.BadRequest:
-            rows.append((box, zoom, 400, None, None, None, None, None, None))
-    names = "box string, zoom_text string, status int, west double, south double, east double, north double, zoom double, most int"
-    return spark.createDataFrame(rows, names)
+    """Each event as a request: what is understood of its box and zoom, or status 400."""
+    n = F.col("event_id")
+    w, s, e, t = (c.cast("string") for c in (n % 300 - 150, n % 100 - 50, n % 300 - 130, n % 100 - 40))
+    written = [
+        F.concat_ws(",", w, s, e, t), F.concat(F.lit(" "), w, F.lit(" ,\t"), s, F.lit(", "), e, F.lit(" ,"), t, F.lit("\n")), F.lit(",,,"),
+        F.concat_ws(",", w, s, e), F.concat_ws(",", w, s, e, F.lit("x")), F.lit(""), F.lit(None).cast("string"), F.lit("0x1F,0b11,5e-1,.5"),
+    ]
+    zooms = F.array(F.lit("7"), F.lit(" 5.9"), F.lit("x"), F.lit(""), F.lit(None).cast("string"))
+    asked = D.table(spark, sf_dir, "events").select(
+        n, F.get(F.array(*written), (n % 8).cast("int")).alias("box"), F.get(zooms, (n % 5).cast("int")).alias("zoom_text")
+    )
+    return V.understood(asked).drop("box", "zoom_text")
 
 
 @query(
@@ -345,11 +351,16 @@ def import_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "catalog_constraints",
-    """SELECT * FROM (VALUES ('places', 'key', 'id'), ('places', 'unique', 'lng,lat'), ('users', 'key', 'id'), ('users', 'check', 'tier IN (free, premium)'),
+    with_(D.PLACES_SQL, D.USERS_SQL, D.PATCHES_SQL, FOLD_SQL)
+    + """SELECT table_name, kind, definition, CASE WHEN kind = 'unique' THEN (SELECT count(*) FROM (SELECT 1 FROM places GROUP BY lng, lat HAVING count(*) > 1))
+  WHEN kind = 'reference' THEN (SELECT count(*) FROM preferences WHERE user_id NOT IN (SELECT id FROM users)) ELSE 0 END AS n
+FROM (VALUES ('places', 'key', 'id'), ('places', 'unique', 'lng,lat'), ('users', 'key', 'id'), ('users', 'check', 'tier IN (free, premium)'),
   ('preferences', 'key', 'user_id'), ('preferences', 'reference', 'user_id -> users.id'), ('ledger', 'key', 'filename')) t(table_name, kind, definition)""",
 )
 def catalog_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.constraints(spark)
+    """The declared constraints, each with what breaks it."""
+    preferences = U.fold_preferences(D.preference_patches(spark, sf_dir))
+    return integrity.constraint_report(D.places(spark, sf_dir), D.users(spark, sf_dir), preferences, D.ledger(spark, sf_dir))
 
 
 @query("repeated_preferences", "SELECT CAST(c_custkey AS VARCHAR) AS user_id, 'map-2' AS basemap_id, CAST(2 AS DOUBLE) AS last_zoom FROM customer")

@@ -219,7 +219,7 @@ def numbered(rows: DataFrame, order: str) -> DataFrame:
 
 
 def read_sql_files(spark: SparkSession, folder: str) -> DataFrame:
-    """filename, sql of the *.sql files of a folder; readers sort by filename."""
+    """filename, sql of the *.sql files of a folder, or of its folders filename=*.sql, as Spark writes them; readers sort by filename."""
     return spark.read.text(f"{folder}/*.sql", wholetext=True).select(
-        F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("filename"), F.col("value").alias("sql")
+        F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"(?:filename=)?([^/=]+\.sql)(?:/[^/]*)?$", 1).alias("filename"), F.col("value").alias("sql")
     )
