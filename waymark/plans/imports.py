@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators.upsert import unwritable, upsert_places
-from ..schemas import IMPORTED
+from ..schemas import IMPORTED, PLACES
 from ..sources.sinks import replace_table
 
 #: Rows of a write batch; rows shown by a dry run of JSON and of KML; errors shown.
@@ -95,6 +95,61 @@ def summary(validated: DataFrame, failed: int = 0) -> DataFrame:
     ).withColumn("success", F.col("inserted") == F.col("valid"))
 
 
+@dataclass(frozen=True)
+class Check:
+    """A constraint on a row: what is told of rows for which ``holds`` is false. Null holds, as in a database."""
+
+    reason: str
+    holds: Column
+
+
+class Rejected(ValueError):
+    """Rows that a table can't take, under a policy that then writes none."""
+
+
+THERE = "already there"
+
+
+def with_reason(rows: DataFrame, target: DataFrame, checks: list[Check] = (), unique: list[list[str]] = (), schema=PLACES) -> DataFrame:
+    """``rows`` with reason, the first constraint of a table that each breaks, or null.
+
+    Constraints are tried in this order: columns that mustn't be null, the checks, and keys that rows of the target have. All are told in
+    one pass over the rows, with one join for each key; keys of the target alone are read, and a null is in no key.
+    """
+    reasons = [F.when(F.col(f.name).isNull(), f"{f.name}: missing") for f in schema if not f.nullable and f.name in rows.columns]
+    reasons += [F.when(~F.coalesce(c.holds, F.lit(True)), c.reason) for c in checks]
+    out = rows
+    for n, key in enumerate(unique):
+        out = out.join(target.select(*key).distinct().withColumn(f"_there{n}", F.lit(True)), key, "left")
+        reasons.append(F.when(F.col(f"_there{n}"), f"{', '.join(key)}: {THERE}"))
+    told = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    return out.select(*rows.columns, told.alias("reason"))
+
+
+def admit(told: DataFrame, policy: str = "insert") -> tuple[DataFrame, DataFrame]:
+    """(rows to write, failures with their reason) of rows with reason.
+
+    insert: all others are written, and every row with a reason is a failure; skip: rows whose key is there already are left out and are no
+    failure; abort: any failure raises Rejected, and nothing is to be written.
+    """
+    if policy not in ("insert", "skip", "abort"):
+        raise ValueError(f"no such policy: {policy}")
+    good, bad = told.where("reason IS NULL").drop("reason"), told.where("reason IS NOT NULL")
+    if policy == "skip":
+        bad = bad.where(~F.col("reason").endswith(f": {THERE}"))
+    if policy == "abort" and (first := bad.orderBy("idx").first()) is not None:
+        raise Rejected(f"row {first['idx']}: {first['reason']}")
+    return good, bad
+
+
+def reconciled(validated: DataFrame, failures: DataFrame) -> DataFrame:
+    """``summary`` with the number of failures counted in the same plan."""
+    lost = failures.agg(F.count("*").alias("lost"))
+    plain = summary(validated).join(F.broadcast(lost))  # a row each
+    counted = plain.withColumn("failed", F.col("lost")).withColumn("inserted", F.col("valid") - F.col("lost")).drop("lost")
+    return counted.withColumn("success", F.col("inserted") == F.col("valid"))
+
+
 @dataclass(frozen=True)
 class Outcome:
     inserted: int

@@ -955,4 +955,4 @@ def debounce_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debounce_table(D.table(spark, sf_dir, "events"), "2 seconds", tie="event_id")
 
 
-from . import queries_files  # noqa: E402, F401  registers the queries that write files
+from . import queries_files, queries_requests  # noqa: E402, F401  register their queries
