@@ -131,7 +131,8 @@ def as_json(document: DataFrame) -> DataFrame:
     return document.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def near(places: DataFrame, cell_degrees: float = 1.0) -> DataFrame:
-    """``places`` laid out for box filters: sorted by grid cell, so that files and row groups cover small areas."""
-    cell = F.concat_ws("_", F.floor(F.col("lng") / cell_degrees), F.floor(F.col("lat") / cell_degrees))
-    return places.withColumn("cell", cell).repartitionByRange("cell").sortWithinPartitions("cell").drop("cell")
+def near(places: DataFrame) -> DataFrame:
+    """``places`` laid out for box filters: sorted by a key of interleaved bits, so that files and row groups cover small areas."""
+    from .pyramid import cell_key
+
+    return places.withColumn("cell", cell_key()).repartitionByRange("cell").sortWithinPartitions("cell").drop("cell")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import users as U
+from .operators import pyramid, users as U, viewport as V
 from .plans import imports, requests
 from .queries import FOLD_SQL, VALID_SQL, query, validated, with_
 from .sources import derived as D, layout
@@ -121,3 +121,25 @@ def import_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = validated(spark, sf_dir)
     told = imports.with_reason(imports.clean(rows), D.places(spark, sf_dir), [imports.Check("name: too long", ~F.col("name").startswith("Stop 1"))])
     return imports.reconciled(rows, imports.admit(told)[1])
+
+
+@query(
+    "far_view",
+    with_(D.PLACES_SQL)
+    + """, now AS (SELECT id, lng, lat, name, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'MOVED' ELSE category END AS category, photo_url FROM places),
+world AS (SELECT * FROM now WHERE category = 'BUILDING' ORDER BY id LIMIT 500),
+box AS (SELECT * FROM now WHERE lng BETWEEN -100.5 AND 60 AND lat BETWEEN -45 AND 70.25 ORDER BY id LIMIT 500)
+SELECT 'world' AS view, * FROM world UNION ALL SELECT 'box', * FROM box""",
+)
+def far_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the world and one of a box from a pyramid, after a third of the places have changed their category."""
+    before, path = D.places(spark, sf_dir), scratch(spark, "pyramid")
+    moved = before.where("CAST(id AS BIGINT) % 3 = 0").withColumn("category", F.lit("MOVED"))
+    now = before.where("CAST(id AS BIGINT) % 3 != 0").unionByName(moved)
+    pyramid.pyramid(before).write.partitionBy("level").parquet(f"{path}/before")
+    tiles = pyramid.refreshed(spark.read.parquet(f"{path}/before"), now, moved)
+    tiles.write.partitionBy("level").parquet(f"{path}/now")
+    tiles = spark.read.parquet(f"{path}/now")
+    world = pyramid.far_view(tiles, now, V.Box(-180, -90, 180, 90), 2, "BUILDING")
+    box = pyramid.far_view(tiles, now, V.Box(-100.5, -45, 60, 70.25), 3)
+    return world.select(F.lit("world").alias("view"), "*").unionByName(box.select(F.lit("box").alias("view"), "*"))
