@@ -63,8 +63,10 @@ SAMPLED = 2
 SEARCHED_BYTES = 1 << 22
 #: Windows are worked on together up to so many, and up to so many cells of a table of theirs.
 WINDOWS, CELLS = 512, 1 << 20
-#: Bucket entries that windows may meet at once, over all repetitions.
-CANDIDATES = 1 << 20
+#: Candidates of a run of windows, and bucket entries that are met at once.
+CANDIDATES, MET = 1 << 18, 1 << 20
+#: Windows of a text that are looked at before the others where any leak will do.
+EARLY = 4
 #: Items go to the executors in blocks of about so many bytes of text.
 BLOCK_BYTES = 4_000_000
 
@@ -123,8 +125,6 @@ class Index:
     bucket_key: np.ndarray
     bucket_item: np.ndarray
     bucket_place: np.ndarray
-    #: Entries of the fullest bucket.
-    fullest: int
 
 
 def size_class(size: np.ndarray) -> np.ndarray:
@@ -227,7 +227,6 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
             where.append(at[inside])
     keys = np.concatenate(keys) if keys else np.zeros(0, U64)
     by = np.argsort(keys, kind="stable")
-    fullest = int(np.unique(keys, return_counts=True)[1].max()) if len(keys) else 0
     return Index(
         np.array([order[k][0] for k in good], object),  # None where the item has no id
         size,
@@ -240,7 +239,6 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
         keys[by],
         np.concatenate(whose)[by] if whose else np.zeros(0, np.int64),
         np.concatenate(where)[by] if where else np.zeros(0, np.int64),
-        fullest,
     )
 
 
@@ -262,40 +260,57 @@ def windows_of(words: Words, index: Index) -> tuple[np.ndarray, np.ndarray, np.n
     return words.text_of()[place], place, kind
 
 
-def slices_of(words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray) -> Iterator[np.ndarray]:
-    """The windows in runs that meet about CANDIDATES bucket entries: near-equal items share buckets, and each window meets them all."""
-    if len(text) * REPETITIONS * index.fullest <= CANDIDATES:
-        yield np.arange(len(text))
+def candidate_runs(
+    words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray, done: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``candidates_of`` for the windows in runs that have up to CANDIDATES: windows are halved where they have more. Near-equal items
+    share buckets, and each window meets them all. Windows of texts that are done are left out."""
+    on = ~done[text]
+    text, place, kind = text[on], place[on], kind[on]
+    found = candidates_of(words, index, text, place, kind)
+    if found is not None:
+        yield found
         return
-    met = np.zeros(len(text), np.int64)
-    for one in np.unique(kind).tolist():
-        mine = np.flatnonzero(kind == one)
-        for key, inside in bucket_keys(words.hash, place[mine], words.bounds[text[mine]], words.bounds[text[mine] + 1], one):
-            entries = np.searchsorted(index.bucket_key, key, "right") - np.searchsorted(index.bucket_key, key, "left")
-            met[mine] += np.where(inside, entries, 0)
-    run = np.cumsum(met) // CANDIDATES
-    yield from np.split(np.arange(len(text)), np.flatnonzero(np.diff(run)) + 1)
+    half = len(text) // 2
+    for part in (slice(half), slice(half, None)):
+        yield from candidate_runs(words, index, text[part], place[part], kind[part], done)
 
 
 def candidates_of(
     words: Words, index: Index, text: np.ndarray, place: np.ndarray, kind: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, item, first word of the item's copy if nothing was edited before) of the items that share a bucket with a window."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(text, item, first word of the item's copy if nothing was edited before) of the items that share a bucket with a window.
+
+    None if several windows have more than CANDIDATES together. Bucket entries are met MET at a time.
+    """
     reach = int(index.size.max())  # a copy may begin so many words ahead of the first word
     n_items, n_starts = len(index.size), len(words.hash) + reach + 1
     least = int(text.min()) if len(text) else 0
-    if (int(text.max()) - least + 1 if len(text) else 1) * n_items * n_starts >= 1 << 63:  # too many for one number: in halves
-        half = len(text) // 2
-        parts = [candidates_of(words, index, text[c], place[c], kind[c]) for c in (slice(half), slice(half, None))]
-        return tuple(np.concatenate(x) for x in zip(*parts))
+    if len(text) > 1 and (int(text.max()) - least + 1) * n_items * n_starts >= 1 << 63:  # too many for one number
+        return None
     found = np.zeros(0, np.int64)
     for one in np.unique(kind).tolist():
         t, p = text[kind == one], place[kind == one]
+        new = []
         for key, inside in bucket_keys(words.hash, p, words.bounds[t], words.bounds[t + 1], one):
-            row, bucket = matches(index.bucket_key, key[inside])
-            window = np.flatnonzero(inside)[row]
-            start = p[window] - index.bucket_place[bucket] + reach
-            found = np.union1d(found, ((t[window] - least) * n_items + index.bucket_item[bucket]) * n_starts + start)
+            window = np.flatnonzero(inside)
+            low = np.searchsorted(index.bucket_key, key[inside], "left")
+            count = np.searchsorted(index.bucket_key, key[inside], "right") - low
+            hit = count > 0
+            window, low, count = window[hit], low[hit], count[hit]
+            cuts = np.flatnonzero(np.diff(np.cumsum(count) // MET)) + 1
+            for w, first, many in zip(*(np.split(x, cuts) for x in (window, low, count))):
+                row, bucket = spread(first, many)
+                start = p[w[row]] - index.bucket_place[bucket] + reach
+                new.append(((t[w[row]] - least) * n_items + index.bucket_item[bucket]) * n_starts + start)
+                if sum(map(len, new)) > MET:
+                    found = np.unique(np.concatenate((found, *new)))
+                    new = []
+                    if len(found) > CANDIDATES and len(text) > 1:
+                        return None
+        found = np.unique(np.concatenate((found, *new)))
+    if len(found) > CANDIDATES and len(text) > 1:
+        return None
     of, start = np.divmod(found, n_starts)
     t, item = np.divmod(of, n_items)
     return t + least, item, start - reach
@@ -386,16 +401,18 @@ def leaks_in(texts: Texts, index: Index, any_item: bool = False) -> np.ndarray:
     """Rows (text, item, edits, first word, word after the last), one per text and item; any_item: some of them, for every text that has any."""
     words = plain_words(texts)
     found = [whole_leaks(words, index)]
-    done = np.zeros(texts.n, bool)
+    done = np.zeros(texts.n, bool)  # stays so unless any item will do
+    if any_item:
+        done[found[0][:, 0]] = True
     windows = windows_of(words, index)
-    for run in slices_of(words, index, *windows):
-        if any_item:
-            done[found[-1][:, 0]] = True
-            run = run[~done[windows[0][run]]]
-        for rows in verified(words, index, *regions_of(words, index, *candidates_of(words, index, *(w[run] for w in windows))), done if any_item else None):
-            found.append(rows)
-            if any_item:
-                done[rows[:, 0]] = True
+    parts = [windows]
+    if any_item:  # a few windows of each text first
+        early = np.arange(len(windows[0])) - np.searchsorted(windows[0], windows[0]) < EARLY
+        parts = [[w[early] for w in windows], [w[~early] for w in windows]]
+    for part in parts:
+        for candidates in candidate_runs(words, index, *part, done):
+            for rows in verified(words, index, *regions_of(words, index, *candidates), done if any_item else None):
+                found.append(rows)
     rows = np.concatenate(found)
     rows = rows[np.lexsort((rows[:, 3], rows[:, 4], rows[:, 2], rows[:, 1], rows[:, 0]))]
     fresh = np.ones(len(rows), bool)
