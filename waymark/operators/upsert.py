@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..schemas import IMPORTED, PLACE_KEY
+from ..sources.scratch import scratch
 
 
 def last_write_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -27,8 +28,14 @@ BROADCAST_KEYS = 200_000
 
 
 def upsert_places(target: DataFrame, source: DataFrame, order: str = "idx") -> DataFrame:
-    """``target`` after inserting or overwriting by (lng, lat): id and created_at of present rows stay, all else is replaced."""
-    fresh = last_write_wins(source.select(*IMPORTED, order), PLACE_KEY, [order]).drop(order)
+    """``target`` after inserting or overwriting by (lng, lat): id and created_at of present rows stay, all else is replaced.
+
+    The source's last rows are written to the shared folder, since their keys are counted and they are joined twice.
+    """
+    last = last_write_wins(source.select(*IMPORTED, order), PLACE_KEY, [order]).drop(order)
+    path = scratch(source.sparkSession, "fresh")
+    last.write.parquet(path)
+    fresh = source.sparkSession.read.schema(last.schema).parquet(path)
     keys = fresh.select(*PLACE_KEY)
     if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
