@@ -189,7 +189,7 @@ def visible(tree: DataFrame, zoom: int) -> DataFrame:
     """What a map shows at a zoom: id, point_count and size (null for a place), lng, lat."""
     above = F.coalesce(F.substring_index("parent_id", ":", 1).cast("int"), F.lit(-1))
     shown = tree.where((F.col("zoom") >= zoom) & (above < zoom))
-    is_place = ~F.col("id").startswith(F.concat(F.col("zoom").cast("string"), F.lit(":")))
+    is_place = F.col("n") == 1  # a cluster has more
     return shown.select(
         "id",
         F.when(~is_place, F.col("n")).alias("point_count"),
