@@ -201,6 +201,21 @@ def test_plain_insert_counts_the_target_once_a_key(spark):
     assert sorted(map(tuple, bad.select("k", "n").collect())) == [(1, 2), (2, 3), (5, 2)]
 
 
+def test_sql_files_are_written_by_many_tasks_and_listed_once(spark, tmp_path):
+    odd = spark.createDataFrame([("a b%41é.sql", "SELECT 'ü';"), ("z.sql", None)], "filename string, sql string")
+    rows = spark.range(2500).coalesce(1).selectExpr("lpad(id, 6, '0') || '.sql' AS filename", "'-- ' || id AS sql").unionByName(odd)
+    want = sorted((r.filename, f"{r.sql or ''}\n") for r in rows.collect())
+    sinks.write_sql_files(rows, f"file://{tmp_path}/m m")
+    sinks.write_file(spark, f"{tmp_path}/m m/README.md", "no")
+    (tmp_path / "m m" / "k=1").mkdir()
+    (tmp_path / "m m" / "k=1" / "inner.sql").write_text("no")
+    assert (tmp_path / "m m" / "000007.sql").read_bytes() == b"-- 7\n"
+    read = files.read_sql_files(spark, f"{tmp_path}/m m")
+    assert sorted(map(tuple, read.collect())) == want and read.columns == ["filename", "sql"]
+    rows.where("filename < '000010'").selectExpr("filename", "sql AS value").write.partitionBy("filename").text(f"{tmp_path}/by spark")
+    assert sorted(map(tuple, files.read_sql_files(spark, f"{tmp_path}/by spark").collect())) == want[:10]
+
+
 def test_migration_files(spark, tmp_path):
     (tmp_path / "m").mkdir()
     for name, body in (("2__b.sql", "B"), ("1__a.sql", "A"), ("note.txt", "x")):

@@ -132,7 +132,7 @@ def sql_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, key = scratch(spark, "migrations"), F.col("s_suppkey").cast("string")
     name = F.concat(F.lpad(key, 6, "0"), F.lit("__"), F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))), F.lit(".sql"))
     sql = F.concat(F.lit("CREATE TABLE t"), key, F.lit(" (id int);\n-- "), "s_name")
-    D.table(spark, sf_dir, "supplier").select(name.alias("filename"), sql.alias("value")).write.partitionBy("filename").text(folder)
+    sinks.write_sql_files(D.table(spark, sf_dir, "supplier").select(name.alias("filename"), sql.alias("sql")), folder)
     sinks.write_file(spark, f"{folder}/README.md", "not a migration")
     return files.read_sql_files(spark, folder)
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 from ..functions import bag, text
 from .lines import located, with_index
 from .scratch import scratch
+from .sinks import located_at, matches
 
 FIELDS = ["name", "category", "description", "photo_url", "address", "website", "hours"]
 
@@ -219,7 +220,16 @@ def numbered(rows: DataFrame, order: str) -> DataFrame:
 
 
 def read_sql_files(spark: SparkSession, folder: str) -> DataFrame:
-    """filename, sql of the *.sql files of a folder, or of its folders filename=*.sql, as Spark writes them; readers sort by filename."""
-    return spark.read.text(f"{folder}/*.sql", wholetext=True).select(
+    """filename, sql of the *.sql files of a folder, or of its folders filename=*.sql, as Spark writes them; readers sort by filename.
+
+    Files are listed with their folder, once; only folders filename=*.sql are listed one by one, by tasks.
+    """
+    if matches(spark, f"{folder}/filename=*.sql"):
+        texts = spark.read.text(f"{folder}/*.sql", wholetext=True)
+    else:
+        depth = located_at(spark, folder)[1].rstrip("/").count("/") + 1  # folders within, such as a=1, are neither read nor partitions
+        listed = spark.read.option("pathGlobFilter", "*.sql").option("recursiveFileLookup", "true").text(folder, wholetext=True)
+        texts = listed.where(F.regexp_count(F.regexp_replace("_metadata.file_path", r"^[^/:]+:(//[^/]*)?", ""), F.lit("/")) == depth)
+    return texts.select(
         F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"(?:filename=)?([^/=]+\.sql)(?:/[^/]*)?$", 1).alias("filename"), F.col("value").alias("sql")
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +27,19 @@ def folders_in(spark: SparkSession, path: str, complete: bool = False) -> list[s
     return [n for n in names if not complete or fs.exists(at(f"{path}/{n}/_SUCCESS"))]
 
 
+def located_at(spark: SparkSession, path: str) -> tuple[str, str]:
+    """The scheme of the store that a path is in, and the path there."""
+    fs, where, _ = _fs(spark, path)
+    uri = fs.makeQualified(where).toUri()
+    return uri.getScheme(), uri.getPath()
+
+
+def matches(spark: SparkSession, pattern: str) -> int:
+    """How many files and folders a pattern has."""
+    fs, where, _ = _fs(spark, pattern)
+    return len(fs.globStatus(where) or ())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, where, _ = _fs(spark, path)
     fs.delete(where, True)
@@ -61,6 +76,34 @@ def write_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+#: A task writes so many files about, so that a long folder is many tasks' work.
+FILES_A_TASK = 1000
+
+
+def write_sql_files(files: DataFrame, folder: str) -> None:
+    """filename, sql -> a file a row, its text and a line end, for ``files.read_sql_files``; rows are dealt out by name, as few bytes are many files.
+
+    In a shared folder of the file system tasks write FOLDER/NAME themselves: Hadoop's local file system starts two processes a
+    file to set permissions. In other stores Spark writes FOLDER/filename=NAME/part-..., and tasks move their own files to their
+    places (algorithm 2), not the driver all of them. Either way a task that runs again writes the same names.
+    """
+    tasks = max(1, -(-files.count() // FILES_A_TASK))
+    dealt = files.select("filename", F.coalesce("sql", F.lit("")).alias("sql")).repartition(tasks, "filename")
+    store, where = located_at(files.sparkSession, folder)
+    if store != "file":
+        writer = dealt.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.partitionBy("filename").text(folder)
+        return
+    path = Path(where)
+
+    def write(rows: Iterator[Row]) -> None:
+        path.mkdir(parents=True, exist_ok=True)
+        for row in rows:
+            (path / row.filename).write_bytes(f"{row.sql}\n".encode())
+
+    dealt.foreachPartition(write)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
