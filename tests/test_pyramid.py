@@ -46,6 +46,22 @@ def test_far_views_are_those_of_all_places(spark, places, monkeypatch, tmp_path,
     views(after, now)
 
 
+def test_each_level_reads_no_more_than_the_first_places_of_the_one_below(spark, places, monkeypatch):
+    monkeypatch.setattr(T, "FAR_LIMIT", 5)
+    seen, real = [], T.first_of
+
+    def counted(rows):
+        out = real(rows)
+        seen.append((rows.count(), "RebalancePartitions" in out._jdf.queryExecution().optimizedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(T, "first_of", counted)
+    tiles = T.pyramid(places)
+    sizes = {r.level: r["count"] for r in tiles.groupBy("level").count().collect()}
+    assert seen == [(places.count(), True)] + [(sizes[n + 1], True) for n in reversed(range(T.LEVELS - 1))]
+    assert sizes[0] == 15
+
+
 def test_the_world_reads_the_pyramid_alone(places):
     plan = T.far_view(T.pyramid(places.limit(0)), places, BOXES[0])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("InMemoryRelation") <= 1

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.scratch import scratch
 from .viewport import FAR_LIMIT, FEATURE_COLUMNS, Box, in_box, limit_for
 
 #: Levels 0 to LEVELS - 1; a level has 2^level by 2^level tiles.
@@ -42,35 +43,54 @@ def cell_key(lng: str = "lng", lat: str = "lat", bits: int = KEY_BITS) -> Column
 
 
 def first_of(rows: DataFrame) -> DataFrame:
-    """The first FAR_LIMIT rows by id of each group; each task keeps as many before rows are moved."""
+    """The first FAR_LIMIT rows by id of each group; each task keeps as many before rows are moved.
+
+    Rows are dealt out evenly before that, so what a task sorts doesn't grow with the files it comes from.
+    """
     by = W.partitionBy(*GROUP).orderBy("id")
-    return rows.withColumn("_nth", F.row_number().over(by)).where(F.col("_nth") <= FAR_LIMIT).drop("_nth")
+    return rows.hint("rebalance").withColumn("_nth", F.row_number().over(by)).where(F.col("_nth") <= FAR_LIMIT).drop("_nth")
+
 
+def tiled(places: DataFrame, level: int = LEVELS - 1) -> DataFrame:
+    """The places with their tile at a level."""
+    return places.select(*FEATURE_COLUMNS, F.lit(level).alias("level"), tile_at(level).alias("tile"))
 
-def tiled(places: DataFrame) -> DataFrame:
-    """A row for each place and level."""
-    levels = places.select(*FEATURE_COLUMNS, F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
-    return levels.withColumn("tile", tile_at(F.col("level")))
+
+def rolled_up(last: DataFrame) -> DataFrame:
+    """All levels from the last one's rows: the first of a tile are among the first of its four tiles a level below.
+
+    Each level is written to the shared folder, and the one above it reads no more than that.
+    """
+    spark, rows = last.sparkSession, last
+    every: DataFrame | None = None
+    for level in reversed(range(LEVELS)):
+        if every is not None:
+            rows = first_of(tiled(rows, level))
+        path = scratch(spark, "level")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        every = rows if every is None else every.unionByName(rows)
+    return every
 
 
 def pyramid(places: DataFrame) -> DataFrame:
     """level, tile and the feature columns."""
-    return first_of(tiled(places))
+    return rolled_up(first_of(tiled(places)))
 
 
 def refreshed(before: DataFrame, places: DataFrame, written: DataFrame) -> DataFrame:
     """The pyramid after rows were written: places is the table as it is now, written its new rows (ids stay in their places).
 
-    Written rows replace themselves. A group that had all of FAR_LIMIT rows and lost one, as its category changed, may have one
-    more to show: such groups alone are read anew.
+    Written rows replace themselves in the last level. A group that had all of FAR_LIMIT rows and lost one, as its category changed, may
+    have one more to show: such groups alone are read anew. The other levels follow from the last.
     """
-    ids = written.select("id").distinct()
-    now = tiled(written)
-    lost = before.join(ids, "id", "left_semi").join(now.select("id", *GROUP), ["id", *GROUP], "left_anti").select(*GROUP).distinct()
-    full = before.groupBy(*GROUP).count().where(F.col("count") == FAR_LIMIT).join(lost, GROUP, "left_semi").select(*GROUP)
-    again = tiled(places).join(full, GROUP, "left_semi").select(before.columns)
-    kept = before.join(ids, "id", "left_anti").unionByName(now.select(before.columns)).join(full, GROUP, "left_anti").select(before.columns)
-    return first_of(kept.unionByName(again))
+    ids, now = written.select("id"), tiled(written)
+    held = before.where(F.col("level") == LEVELS - 1).select(now.columns)
+    lost = held.join(ids, "id", "left_semi").join(now.select("id", *GROUP), ["id", *GROUP], "left_anti").select(*GROUP).distinct()
+    full = held.groupBy(*GROUP).count().where(F.col("count") == FAR_LIMIT).join(lost, GROUP, "left_semi").select(*GROUP)
+    again = tiled(places).join(full, GROUP, "left_semi").select(now.columns)
+    kept = held.join(ids, "id", "left_anti").select(now.columns).unionByName(now).join(full, GROUP, "left_anti").select(now.columns)
+    return rolled_up(first_of(kept.unionByName(again))).select(before.columns)
 
 
 def covered(box: Box, most: int = 4) -> tuple[int, list[int]]:
