@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 
 from waymark.operators.users import fold_preferences
 from waymark.streaming import preferences as live
@@ -87,3 +88,45 @@ def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
     sink.compact(spark)
     assert sorted((r.user_id, r.last_zoom) for r in sink.table(spark).collect()) == [("a", 7.0), ("b", 4.0)]
     assert sink.parts(spark) == (3, ["base=3"])
+
+
+def test_few_patches_of_a_user_reach_the_state(spark, tmp_path, monkeypatch):
+    class Counting(live.PreferenceState):
+        def handleInputRows(self, key, rows, timerValues):
+            rows = list(rows)
+            assert len(rows) <= 4, f"{len(rows)} rows of {key}"
+            return live.PreferenceState.handleInputRows(self, key, rows, timerValues)
+
+    monkeypatch.setattr(live, "PreferenceState", Counting)
+    rows = draw(2, n=2000)
+    replay = Replay(spark, tmp_path)
+    replay.run([*rows, beat(10_000)], lateness="40 seconds")
+    assert replay.saved() == folded(spark, rows)
+
+
+def test_what_is_left_out_changes_nothing_wherever_the_watermark_cuts(monkeypatch):
+    monkeypatch.setattr(live, "GATHERED", 50)
+    monkeypatch.setattr(live, "HELD", 60)  # with 20 users some rows are handed on early
+    rng = random.Random(4)
+    rows = [
+        {"user_id": rng.choice([None, *"abcdefghijklmnopqrs"]), "at": rng.randrange(300), "event_id": k, "has_basemap": rng.choice([True, False, False, None]),
+         "has_center": rng.random() < 0.2, "has_zoom": rng.random() < 0.1}
+        for k in range(3000)
+    ]
+    schema = pa.schema({"user_id": pa.string(), "at": pa.int64(), "event_id": pa.int64(), **{c: pa.bool_() for c in ("has_basemap", "has_center", "has_zoom")}})
+    given = pa.Table.from_pylist(rows, schema)
+    kept = [r for batch in live.effective(iter(given.to_batches(max_chunksize=37))) for r in batch.to_pylist()]
+    assert len(kept) < 1500 and {r["event_id"] for r in kept} <= set(range(3000))
+
+    def fold(patches, cut):
+        found = {}
+        for r in patches:
+            for c in ("has_basemap", "has_center", "has_zoom", "at"):
+                if r["at"] >= cut and (c == "at" or r[c]):
+                    found[r["user_id"], c] = max(found.get((r["user_id"], c), (-1, -1)), (r["at"], r["event_id"]))
+        return found
+
+    for cut in (0, 1, 50, 150, 270, 290, 299):
+        assert fold(kept, cut) == fold(rows, cut)
+    assert list(live.effective(iter(given.slice(0, 0).to_batches()))) == []
+    assert sum(b.num_rows for b in live.effective(iter([pa.RecordBatch.from_pylist([], schema)]))) == 0
